@@ -1,0 +1,82 @@
+"""Compare every registered query with its SQL oracle.
+
+Run as ``python tests/oracle_check.py [folder] [query ...]``; the pytest module uses it too.
+"""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+import __spark_entry__ as spark_entry  # noqa: E402
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in Path(folder).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return con
+
+
+def _canonical(table) -> list[tuple]:
+    frame = table.to_pandas(types_mapper=pd.ArrowDtype)
+    frame = frame[sorted(frame.columns)]
+
+    def text(value):
+        if value is pd.NA or value is None:
+            return None
+        return repr(value) if isinstance(value, float) else str(value)
+
+    rows = (tuple(text(v) for v in row) for row in frame.itertuples(index=False, name=None))
+    return sorted(rows, key=lambda row: tuple((v is not None, v or "") for v in row))
+
+
+def mismatch(spark, con, name: str, folder: str) -> str | None:
+    """A description of the difference, or None."""
+    ours = spark_entry.queries()[name](spark, folder).toArrow()
+    theirs = con.execute(spark_entry.oracle_sql()[name]).to_arrow_table()
+    if sorted(ours.column_names) != sorted(theirs.column_names):
+        return f"columns {sorted(ours.column_names)} != {sorted(theirs.column_names)}"
+    for column in ours.column_names:
+        left, right = str(ours.schema.field(column).type), str(theirs.schema.field(column).type)
+        if left != right:
+            return f"type of {column}: {left} != {right}"
+    if ours.num_rows != theirs.num_rows:
+        return f"rows {ours.num_rows} != {theirs.num_rows}"
+    left, right = _canonical(ours), _canonical(theirs)
+    if left != right:
+        differing = [(a, b) for a, b in zip(left, right) if a != b]
+        return f"{len(differing)} of {len(left)} rows differ: {differing[0]}"
+    return None
+
+
+def main(folder: str, *names: str) -> int:
+    from tidemart.session import local_session
+
+    spark = local_session(cores=8)
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(folder)
+    failed = 0
+    for name in names or spark_entry.queries():
+        start = time.time()
+        if name not in spark_entry.oracle_sql():
+            print(f"{name:28s} no oracle, {spark_entry.queries()[name](spark, folder).count()} rows")
+            continue
+        try:
+            problem = mismatch(spark, con, name, folder)
+        except Exception as error:  # keep going and report every query
+            problem = f"{type(error).__name__}: {str(error)[:600]}"
+        failed += problem is not None
+        print(f"{name:28s} {time.time() - start:6.2f}s {problem or 'ok'}", flush=True)
+    print(f"{failed} failed")
+    return failed
+
+
+if __name__ == "__main__":
+    sys.exit(bool(main(*(sys.argv[1:] or ["/root/testdata/sf0.01"]))))
