@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -12,45 +13,42 @@ from pyspark.sql import functions as F
 def first_rows(
     df: DataFrame, n: int, levels: Mapping[str, Column], ties: Sequence[str]
 ) -> DataFrame:
-    """The first ``n`` rows ordered by ``levels``, then ``ties``.
+    """The first ``n`` rows ordered by ``levels``, then ``ties``; nulls come first.
 
     ``levels`` go from coarse to fine, each with a bounded number of values within the one before.
-    Per level a count finds the one cell in which row ``n`` lies; cells before it are kept whole,
-    and only the rows of the last such cell are ranked.
+    Counting level by level finds the one cell that holds row ``n``: cells before it are kept
+    whole, and only the rows of that cell are ranked.
     """
     if n < 0:
         raise ValueError("the row cap must not be negative")
+    if n == 0 or not levels:
+        return df.limit(0) if n == 0 else df.orderBy(*ties).limit(n)
     columns = df.columns
-    inside = df.withColumns({f"_{name}": level for name, level in levels.items()}).withColumn(
-        "_left", F.lit(n).cast("long")
-    )
-    kept = []
-    for name in levels:
-        cell = f"_{name}"
-        sizes = inside.groupBy(cell).agg(
-            F.count(F.lit(1)).alias("_rows"), F.max("_left").alias("_left")
-        )
-        earlier = W.orderBy(F.col(cell).asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    names = [f"_{name}" for name in levels]
+    placed = df.withColumns(dict(zip(names, levels.values())))
+    cells = placed.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
+
+    last = None
+    for depth, name in enumerate(names):
+        above = names[:depth]
+        within = cells if last is None else _in_cell(cells, last, above)
+        left = F.lit(n).cast("long") if last is None else F.max("_last._left")
+        sizes = within.groupBy(*above, name).agg(F.sum("_rows").alias("_rows"), left.alias("_left"))
+        earlier = W.orderBy(name).rowsBetween(W.unboundedPreceding, -1)
         sizes = sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        cut = sizes.where(
-            (F.col("_before") < F.col("_left")) & (F.col("_before") + F.col("_rows") > F.col("_left"))
-        ).select(
-            F.col(cell).alias("_cut"), (F.col("_left") - F.col("_before")).alias("_left_in_cut")
-        )
-        # One row at most; absent when the cap falls between two cells or is never reached.
-        reached = sizes.where(F.col("_before") + F.col("_rows") <= F.col("_left")).select(
-            F.col(cell).alias("_whole")
-        )
-        whole = inside.join(reached, F.col(cell).eqNullSafe(F.col("_whole")), "left_semi")
-        kept.append(whole.select(*columns))
-        inside = (
-            inside.join(F.broadcast(cut), F.col(cell).eqNullSafe(F.col("_cut")))
-            .withColumn("_left", F.col("_left_in_cut"))
-            .drop("_cut", "_left_in_cut")
-        )
-    last = [f"_{name}" for name in levels]
-    ranked = inside.withColumn("_row", F.row_number().over(W.partitionBy(*last).orderBy(*ties)))
-    out = ranked.where(F.col("_row") <= F.col("_left")).select(*columns)
-    for part in kept:
-        out = out.unionByName(part)
-    return out
+        cell = F.struct(*above, name, (F.col("_left") - F.col("_before")).alias("_left"))
+        # One row: the last cell that begins before the cap.
+        last = sizes.where("_before < _left").agg(F.max(cell).alias("_last"))
+
+    position = F.struct(*names)
+    cap = F.struct(*[F.col(f"_last.{name}").alias(name) for name in names])
+    whole = placed.join(F.broadcast(last), position < cap)
+    in_order = W.partitionBy(*names).orderBy(*ties)
+    partial = _in_cell(placed, last, names).withColumn("_row", F.row_number().over(in_order))
+    partial = partial.where(F.col("_row") <= F.col("_last._left"))
+    return whole.select(*columns).unionByName(partial.select(*columns))
+
+
+def _in_cell(df: DataFrame, cell: DataFrame, names: Sequence[str]) -> DataFrame:
+    same = [F.col(name).eqNullSafe(F.col(f"_last.{name}")) for name in names]
+    return df.join(F.broadcast(cell), reduce(lambda a, b: a & b, same))

@@ -25,9 +25,13 @@ def _calendar(first: Column, last: Column) -> Column:
 
 
 def entity_month_panel(df: DataFrame, keys: Sequence[str], calendar: bool = False) -> DataFrame:
-    """Every entity in every month. The months are broadcast: a calendar bounds their number."""
-    months = distinct_months(df, calendar)
-    return distinct_entities(df, keys).crossJoin(F.broadcast(months)).select("month", *keys)
+    """Every entity in every month. The months are broadcast: a calendar bounds their number.
+
+    Both lists come from the distinct pairs, so the input is read once.
+    """
+    seen = df.select("month", *keys).distinct()
+    months = distinct_months(seen, calendar)
+    return distinct_entities(seen, keys).crossJoin(F.broadcast(months)).select("month", *keys)
 
 
 def densify(

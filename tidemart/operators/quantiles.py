@@ -26,7 +26,12 @@ def grouped_quantiles(
     Equal values are counted before anything is gathered, so a hot group costs its distinct
     values only. Groups whose distinct values still exceed ``max_buffered`` take a second, equally
     exact way: a histogram finds the bucket of each wanted rank, and only those buckets are ranked.
+
+    Keys must not be null; rows without a value do not count.
     """
+    # Stated up front, the conditions Catalyst would derive for some of the joins below and not for
+    # others hold for all of them, so every branch reads one shuffle of ``counted``.
+    df = df.dropna(subset=[*keys, value])
     counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     wide = (
         counted.groupBy(*keys)

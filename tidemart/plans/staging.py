@@ -62,7 +62,7 @@ def raw_postings(postings: DataFrame, company: DataFrame) -> DataFrame:
 
 def base_postings(raw: DataFrame) -> DataFrame:
     """One row per dated posting: month, keys with defaults, upper-cased role and skill ids."""
-    return raw.where("post_date is not null").select(
+    dated = raw.where("post_date is not null").select(
         month_of(F.col("post_date")).alias("month"),
         id_or_unknown(F.col("geo_id")).alias("geo_id"),
         name_or_unknown(F.col("geo_name")).alias("geo_name"),
@@ -75,6 +75,9 @@ def base_postings(raw: DataFrame) -> DataFrame:
         number_or_null(raw, "salary_usd").alias("salary_usd"),
         F.lit(1).alias("posting_count"),
     )
+    # Restated for the month, so that joins on it derive no filter of their own and all branches of
+    # a mart can read the same shuffle.
+    return dated.where("month is not null")
 
 
 def universe_postings(

@@ -18,6 +18,8 @@ def local_session(app: str = "tidemart", cores: int | str = "*", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small test data: keep all cores busy instead of merging into one megabyte-sized task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     for key, value in conf.items():

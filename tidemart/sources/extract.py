@@ -89,7 +89,6 @@ def select_periods(
 def cap_rows_by_month(df: DataFrame, n: int) -> DataFrame:
     """The ``n`` earliest postings, by date, then job id, then every other column."""
     levels = {
-        "month": F.trunc("post_date", "month"),
         "day": F.col("post_date").cast("date"),
         "job_high": F.shiftright("job_id", 40),
         "job_mid": F.shiftright("job_id", 20),
