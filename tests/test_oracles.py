@@ -1,0 +1,26 @@
+"""Every registered query against its SQL statement, on the smallest tables."""
+
+import pytest
+
+import __spark_entry__ as spark_entry
+from oracle_check import connect, mismatch
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(FOLDER)
+
+
+def test_every_query_has_an_oracle():
+    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(spark_entry.queries()))
+def test_query_matches_oracle(spark, con, name):
+    assert mismatch(spark, con, name, FOLDER) is None
+
+
+def test_entry(spark):
+    assert spark_entry.entry(spark).count() == 26_975

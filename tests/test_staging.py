@@ -93,9 +93,9 @@ def test_company_join_keeps_every_posting_once(spark, frame):
             {"rcid": None, "rics_k200": "nobody"},
         ],
     )
-    got = {r.job_id: r.rics_k200 for r in join_company(postings, company).collect()}
+    got = {r.job_id: r.rics_k200 for r in join_company(postings, company, ["job_id"]).collect()}
     assert got == {1: "a", 2: "a", 3: None, 4: None, 5: None, 6: "neg"}
-    assert join_company(postings, company).count() == 6
+    assert join_company(postings, company, ["job_id"]).count() == 6
 
 
 def test_region_join(spark, frame):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,12 +11,17 @@ from ..functions.casts import whole_key
 from .dedupe import first_per_key
 
 
-def join_company(postings: DataFrame, company: DataFrame) -> DataFrame:
+def join_company(
+    postings: DataFrame,
+    company: DataFrame,
+    spread_on: Sequence[str] = ("post_date", "geo_id", "role_id"),
+) -> DataFrame:
     """Left join of the industry columns on ``rcid``; one company row per key.
 
     No broadcast hint: Spark broadcasts the mapping when its size allows and else shuffles both
     sides, splitting hot companies at run time. Postings without a company would all meet in one
-    partition of that shuffle, so they get a spread-out stand-in key that matches nothing.
+    partition of that shuffle, so they get a stand-in key that matches nothing, hashed from
+    ``spread_on``: columns of many values that every mart reads anyway.
     """
     industries = first_per_key(
         company.select(whole_key(company, "rcid").alias("_company"), "rics_k200", "rics_k50").where(
@@ -22,9 +29,8 @@ def join_company(postings: DataFrame, company: DataFrame) -> DataFrame:
         ),
         ["_company"],
     )
-    spread = F.xxhash64(*[F.col(c) for c in postings.columns if c != "rcid"])
     keyed = postings.withColumn("rcid", whole_key(postings, "rcid")).withColumn(
-        "_key", F.coalesce("rcid", spread)
+        "_key", F.coalesce("rcid", F.xxhash64(*spread_on))
     )
     matches = (F.col("_key") == F.col("_company")) & F.col("rcid").isNotNull()
     return keyed.join(industries, matches, "left").drop("_key", "_company")

@@ -27,9 +27,10 @@ def _calendar(first: Column, last: Column) -> Column:
 def entity_month_panel(df: DataFrame, keys: Sequence[str], calendar: bool = False) -> DataFrame:
     """Every entity in every month. The months are broadcast: a calendar bounds their number.
 
-    Both lists come from the distinct pairs, so the input is read once.
+    Both lists come from the counted pairs, so the input is read once. A plain ``distinct`` in place
+    of the count would be optimised away, and each list would read the input on its own.
     """
-    seen = df.select("month", *keys).distinct()
+    seen = df.groupBy("month", *keys).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 0")
     months = distinct_months(seen, calendar)
     return distinct_entities(seen, keys).crossJoin(F.broadcast(months)).select("month", *keys)
 

@@ -46,8 +46,9 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     """All marts by name.
 
-    Three tables are written to the shared folder on the way: the filtered base (read by the cube
-    and by salaries), the cube (read by three marts) and job demand (read by the trajectories).
+    Whatever has several readers is written to the shared folder on the way: the filtered base (read
+    by the cube and by salaries), the cube (read by three marts), job demand (read by the
+    trajectory features) and those (read by the labels).
     """
     folder = folder or shared_folder(sources.postings.sparkSession)
     base = staged(
@@ -55,7 +56,7 @@ def build_marts(
     )
     cube = staged(posting_cube(base), "cube", folder)
     demand = staged(job_demand(cube), "job_demand", folder)
-    features = trajectory_features(demand, settings, grain)
+    features = staged(trajectory_features(demand, settings, grain), "trajectory_features", folder)
     return {
         "job_demand": demand,
         "skill_demand": skill_demand(cube),

@@ -315,7 +315,7 @@ def role_in_list(spark, folder):
 @query
 def industry_enrichment(spark, folder):
     source = standin.postings(spark, folder).select("job_id", "rcid", "post_date")
-    return join_company(source, standin.company_mapping(spark, folder))
+    return join_company(source, standin.company_mapping(spark, folder), ["job_id"])
 
 
 @query
