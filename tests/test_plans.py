@@ -21,6 +21,7 @@ def executed(spark, name):
     [
         "job_demand",
         "skill_demand",
+        "assoc_marginals",
         "role_skill_associations",
         "salary_distribution",
         "trajectory_labels_role",
@@ -29,7 +30,10 @@ def executed(spark, name):
     ],
 )
 def test_marts_read_the_postings_once(spark, name):
-    plan = executed(spark, name)
+    # The static plan: an adaptive one no longer shows branches that ran and turned out empty.
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    plan = spark_entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.adaptive.enabled")
     assert len(re.findall(r"FileScan parquet \[l_", plan)) == 1
     assert "CartesianProduct" not in plan
 

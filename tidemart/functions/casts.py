@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: the spelling of a plain decimal number, optionally signed, with exponent.
-NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Fixed value: what a plain decimal number is spelled with. The cast alone would also read type
+# suffixes (5d), hexadecimal floats, NaN and Infinity.
+NUMBER_CHARACTERS = "0123456789+-.eE \t\r\n"
 
 UNKNOWN_ID = "UNK"
 UNKNOWN_NAME = "Unknown"
@@ -35,7 +36,8 @@ def number_or_null(df: DataFrame, name: str) -> Column:
     """A double, or null where text is not a plain number (``5d`` and ``1_000`` are not)."""
     col = F.col(name)
     if isinstance(df.schema[name].dataType, T.StringType):
-        return F.when(col.rlike(NUMBER_TEXT), F.trim(col).try_cast("double"))
+        only_number_characters = F.translate(col, NUMBER_CHARACTERS, "") == ""
+        return F.when(only_number_characters, col.try_cast("double"))
     return col.cast("double")
 
 

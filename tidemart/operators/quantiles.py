@@ -33,8 +33,10 @@ def grouped_quantiles(
     # others hold for all of them, so every branch reads one shuffle of ``counted``.
     df = df.dropna(subset=[*keys, value])
     counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    # So does the condition on the count, without which this branch would drop that column.
     wide = (
-        counted.groupBy(*keys)
+        counted.where("_n > 0")
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_values"))
         .where(F.col("_values") > max_buffered)
         .select(*keys)
@@ -53,8 +55,12 @@ def grouped_quantiles(
 
 
 def _bucket(value: Column) -> Column:
-    """Non-decreasing in ``value``, which is all the rank search relies on."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * RESOLUTION)
+    """Non-decreasing in ``value``, which is all the rank search relies on.
+
+    Values are not null here; the default says so to Catalyst, which would otherwise add a condition
+    on the bucket to one of the branches.
+    """
+    return F.coalesce(F.floor(F.signum(value) * F.log1p(F.abs(value)) * RESOLUTION), F.lit(0))
 
 
 def _by_rank_search(
