@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,10 +78,13 @@ def run_build(
     """Read the snapshot under ``source_root``, build, and export to ``output_root``."""
     marts = build_marts(read_sources(spark, settings.source_root), roles, skills, settings, grain)
     export_marts(marts, settings.output_root)
-    return {
+    exported = {
         name: spark.read.schema(df.schema).parquet(f"{settings.output_root}/{name}.parquet")
         for name, df in marts.items()
     }
+    if exported["trajectory_features"].isEmpty() and not exported["job_demand"].isEmpty():
+        warnings.warn(f"no entity has {settings.min_observations} observed months: no trajectories")
+    return exported
 
 
 def make_sample(spark: SparkSession, settings: RunSettings) -> list[str]:

@@ -26,6 +26,7 @@ from ..plans import contracts, demand, metadata, reports, salary, skills, stagin
 from ..plans.build import Sources, build_marts
 from ..schemas import DISCLOSURE_COUNT, MARTS
 from ..session import shared_folder
+from ..settings import new_run_id
 from ..sinks.tables import write_monthly
 from ..sources import extract, snapshot
 from . import standin
@@ -192,7 +193,7 @@ def partition_columns(spark, folder):
 def monthly_roundtrip(spark, folder):
     """Write the snapshot by month, read it back, count what each folder holds."""
     source = standin.postings(spark, folder).select("job_id", "post_date", "role_k17000_v3")
-    path = f"{shared_folder(spark)}/postings-{metadata_id()}"
+    path = f"{shared_folder(spark)}/postings-{new_run_id()}"
     write_monthly(source, path)
     return (
         snapshot.read_monthly(spark, path)
@@ -205,12 +206,6 @@ def monthly_roundtrip(spark, folder):
     )
 
 
-def metadata_id() -> str:
-    from ..settings import new_run_id
-
-    return new_run_id()
-
-
 @query
 def union_months(spark, folder):
     source = standin.postings(spark, folder)
@@ -347,12 +342,10 @@ def months(spark, folder):
     return distinct_months(filtered(spark, folder))
 
 
-@query
-def entity_month_panel_query(spark, folder):
-    return entity_month_panel(filtered(spark, folder), ["role_id", "geo_id", "industry_id"])
-
-
-QUERIES["entity_month_panel"] = QUERIES.pop("entity_month_panel_query")
+register(
+    "entity_month_panel",
+    lambda s, f: entity_month_panel(filtered(s, f), ["role_id", "geo_id", "industry_id"]),
+)
 
 
 @query
