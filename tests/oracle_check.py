@@ -40,7 +40,7 @@ def _canonical(table) -> list[tuple]:
 def mismatch(spark, con, name: str, folder: str) -> str | None:
     """A description of the difference, or None."""
     ours = spark_entry.queries()[name](spark, folder).toArrow()
-    theirs = con.execute(spark_entry.oracle_sql()[name]).to_arrow_table()
+    theirs = con.sql(spark_entry.oracle_sql()[name]).to_arrow_table()
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return f"columns {sorted(ours.column_names)} != {sorted(theirs.column_names)}"
     for column in ours.column_names:

@@ -98,6 +98,32 @@ def test_company_join_keeps_every_posting_once(spark, frame):
     assert join_company(postings, company, ["job_id"]).count() == 6
 
 
+def test_hot_company_is_split_at_run_time(spark):
+    """Half the postings belong to one company, a quarter to none."""
+    rows = spark.range(0, 40_000, 1, 8).selectExpr(
+        "id as job_id", "case when id % 2 = 0 then 7 when id % 4 = 1 then id % 500 end as rcid"
+    )
+    company = spark.range(500).selectExpr(
+        "id as rcid", "concat('k', id) as rics_k200", "concat('g', id) as rics_k50"
+    )
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    joined = join_company(rows, company, ["job_id"])
+    counts = joined.groupBy("rics_k200").count()
+    got = {r.rics_k200: r["count"] for r in counts.collect()}
+    for name in options:
+        spark.conf.unset(name)
+    assert sum(got.values()) == 40_000 and got["k7"] == 20_000 and got[None] == 10_000
+    assert "SortMergeJoin(skew=true)" in counts._jdf.queryExecution().executedPlan().toString()
+
+
 def test_region_join(spark, frame):
     postings = spark.createDataFrame([(1, "DE"), (2, "XX"), (3, None)], "job_id long, country string")
     regions = frame(schemas.REGIONS, [{"country": "DE", "region": "Europe"}] * 2)

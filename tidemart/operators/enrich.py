@@ -19,21 +19,23 @@ def join_company(
     """Left join of the industry columns on ``rcid``; one company row per key.
 
     No broadcast hint: Spark broadcasts the mapping when its size allows and else shuffles both
-    sides, splitting hot companies at run time. Postings without a company would all meet in one
-    partition of that shuffle, so they get a stand-in key that matches nothing, hashed from
-    ``spread_on``: columns of many values that every mart reads anyway.
+    sides. That shuffle goes by the key and a hash. Postings without a company hash ``spread_on``,
+    columns of many values that every mart reads anyway, and so do not meet in one partition. And as
+    the deduplicated mapping is not yet partitioned by the hash, both inputs of the join are fresh
+    shuffles, without which Spark could not split a hot company over several tasks at run time.
     """
     industries = first_per_key(
         company.select(whole_key(company, "rcid").alias("_company"), "rics_k200", "rics_k50").where(
             F.col("_company").isNotNull()
         ),
         ["_company"],
-    )
+    ).withColumn("_company_hash", F.xxhash64("_company"))
     keyed = postings.withColumn("rcid", whole_key(postings, "rcid")).withColumn(
-        "_key", F.coalesce("rcid", F.xxhash64(*spread_on))
+        "_hash",
+        F.when(F.col("rcid").isNull(), F.xxhash64(*spread_on)).otherwise(F.xxhash64("rcid")),
     )
-    matches = (F.col("_key") == F.col("_company")) & F.col("rcid").isNotNull()
-    return keyed.join(industries, matches, "left").drop("_key", "_company")
+    matches = (F.col("rcid") == F.col("_company")) & (F.col("_hash") == F.col("_company_hash"))
+    return keyed.join(industries, matches, "left").drop("_hash", "_company", "_company_hash")
 
 
 def join_region(postings: DataFrame, regions: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 MAX_BUFFERED_VALUES = 200_000
 # Buckets per e-fold of the value when a larger group is searched in two steps.
 RESOLUTION = 4_096
+# Into how many parts the join that tells large groups apart spreads each group.
+LANES = 64
 
 
 def grouped_quantiles(
@@ -32,24 +34,29 @@ def grouped_quantiles(
     # Stated up front, the conditions Catalyst would derive for some of the joins below and not for
     # others hold for all of them, so every branch reads one shuffle of ``counted``.
     df = df.dropna(subset=[*keys, value])
-    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    lane = F.xxhash64(value).bitwiseAND(LANES - 1)
+    counted = (
+        df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_lane", lane)
+    )
     # So does the condition on the count, without which this branch would drop that column.
     wide = (
         counted.where("_n > 0")
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_values"))
         .where(F.col("_values") > max_buffered)
-        .select(*keys)
+        .select(*keys, F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))).alias("_lane"))
+        .withColumn("_lane", F.col("_lane").cast("long"))
     )
+    in_lane = [*keys, "_lane"]
     probabilities = list(quantiles.values())
     buffered = (
-        counted.join(wide, list(keys), "left_anti")
+        counted.join(wide, in_lane, "left_anti")
         .groupBy(*keys)
         .agg(F.percentile(value, probabilities, F.col("_n")).alias("_q"))
         .select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)])
     )
     searched = _by_rank_search(
-        counted.join(wide, list(keys), "left_semi"), keys, value, quantiles
+        counted.join(wide, in_lane, "left_semi"), keys, value, quantiles
     )
     return buffered.unionByName(searched)
 

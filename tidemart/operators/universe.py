@@ -61,8 +61,8 @@ def _member(df: DataFrame, allowlist: Allowlist, max_literals: int) -> tuple[Dat
     if len(allowlist.ids) <= max_literals:
         return df, F.col(key).isin(allowlist.ids)
     flag = f"_{allowlist.kind}_listed"
-    # Distinct ids: an id listed under two names must not double its postings.
-    ids = allowlist.frame(df.sparkSession).select(key).distinct().withColumn(flag, F.lit(True))
+    # Each id once: listed under two names, it must not double its postings.
+    ids = df.sparkSession.createDataFrame([(i, True) for i in allowlist.ids], f"{key} string, {flag} boolean")
     return df.join(ids, key, "left"), F.coalesce(F.col(flag), F.lit(False))
 
 

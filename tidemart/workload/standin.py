@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.universe import Allowlist
@@ -48,8 +48,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _unless(absent: Column, value: Column) -> Column:
-    return F.when(~absent, value)
+# Source column by expression over the joined tables; the keys decide where values are missing.
+POSTING_COLUMNS = {
+    "job_id": "l_orderkey * 8 + l_linenumber",
+    "rcid": "if(l_partkey % 50 = 0, null, l_suppkey)",
+    "country": "if(l_orderkey % 2 = 0, null, concat('Country ', r_regionkey))",
+    "state": "if(l_orderkey % 3 = 0, null, r_name)",
+    "metro_area": "if(l_orderkey % 5 = 0, null, c_mktsegment)",
+    "role_k1500_v2": "if(l_orderkey % 101 = 0, null, concat(lower(p_type), ' role'))",
+    "role_k17000_v3": "if(l_orderkey % 101 = 0, null,"
+    " concat(upper(left(p_type, 1)), lower(substring(p_type, 2))))",
+    "salary": "case l_partkey % 40 when 1 then 'n/a' when 2 then '0' when 3 then '-5'"
+    " when 4 then null else cast(cast(l_extendedprice as decimal(12, 2)) as string) end",
+    "post_date": "if(l_orderkey % 97 = 0, null, cast(l_shipdate as date))",
+    "remove_date": "if(l_orderkey % 97 = 0, null,"
+    " date_add(cast(l_shipdate as date), cast(l_quantity as int)))",
+    "skill_id": "if(l_linenumber = 7, null, lower(p_brand))",
+    "skill_name": "if(l_linenumber = 7, null, p_brand)",
+}
 
 
 def postings(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,42 +75,15 @@ def postings(spark: SparkSession, folder: str) -> DataFrame:
     )
     # Places are joined to orders first, which are fewer than line items.
     places = (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        orders.join(customer, F.expr("o_custkey = c_custkey"))
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .join(region, F.expr("n_regionkey = r_regionkey"))
         .select("o_orderkey", "c_mktsegment", "r_regionkey", "r_name")
     )
-    rows = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
-        places, F.col("l_orderkey") == F.col("o_orderkey")
-    )
-    order, line, part_key = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
-    post_date = _unless(order % 97 == 0, F.col("l_shipdate").cast("date"))
-    role = F.concat(
-        F.upper(F.substring("p_type", 1, 1)), F.lower(F.expr("substring(p_type, 2)"))
-    )
-    no_role, no_skill = order % 101 == 0, line == 7
-    salary_case = part_key % 40
-    salary = (
-        F.when(salary_case == 1, "n/a")
-        .when(salary_case == 2, "0")
-        .when(salary_case == 3, "-5")
-        .when(salary_case == 4, F.lit(None))
-        .otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("string"))
-    )
-    return rows.select(
-        (order * 8 + line).alias("job_id"),
-        _unless(part_key % 50 == 0, F.col("l_suppkey")).alias("rcid"),
-        _unless(order % 2 == 0, F.concat(F.lit("Country "), "r_regionkey")).alias("country"),
-        _unless(order % 3 == 0, F.col("r_name")).alias("state"),
-        _unless(order % 5 == 0, F.col("c_mktsegment")).alias("metro_area"),
-        _unless(no_role, F.concat(F.lower("p_type"), F.lit(" role"))).alias("role_k1500_v2"),
-        _unless(no_role, role).alias("role_k17000_v3"),
-        salary.alias("salary"),
-        post_date.alias("post_date"),
-        F.date_add(post_date, F.col("l_quantity").cast("int")).alias("remove_date"),
-        _unless(no_skill, F.lower("p_brand")).alias("skill_id"),
-        _unless(no_skill, F.col("p_brand")).alias("skill_name"),
+    rows = lineitem.join(part, F.expr("l_partkey = p_partkey")).join(
+        places, F.expr("l_orderkey = o_orderkey")
     )
+    return rows.selectExpr(*[f"{value} as {name}" for name, value in POSTING_COLUMNS.items()])
 
 
 def company_mapping(spark: SparkSession, folder: str) -> DataFrame:
