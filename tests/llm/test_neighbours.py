@@ -1,0 +1,63 @@
+import numpy as np
+
+from tidemart.llm import neighbours
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, queries, k=5):
+    usable = [(i, np.array(v, np.float64)) for i, v in rows if i is not None and v and None not in v]
+    usable = [(i, v) for i, v in usable if np.isfinite(v).all() and v.any()]
+    out = []
+    for q, x in usable:
+        if not queries(q):
+            continue
+        near = [(-float(neighbours.cosines(x[None], y[None])[0]), i) for i, y in usable if i != q and len(x) == len(y)]
+        out += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(sorted(near)[:k])]
+    return sorted(out)
+
+
+def result(df, condition="vec_id % 50 = 0", k=5):
+    return sorted(tuple(r) for r in neighbours.nearest(df.where(condition), df, k).collect())
+
+
+def same(got, want):
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    np.testing.assert_allclose([r[3] for r in got], [r[3] for r in want], rtol=0, atol=1e-12)
+
+
+def test_test_table(stored):
+    df = stored("embeddings", "/root/testdata/sf0.01")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    same(result(df.repartition(5)), brute(rows, lambda q: q % 50 == 0))
+
+
+def test_ties_copies_and_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 4)
+    monkeypatch.setattr(neighbours, "CANDIDATE_ROWS", 16)
+    monkeypatch.setattr(neighbours, "GROUPED", 2)
+    draw = np.random.default_rng(1)
+    few = draw.normal(size=(7, 8)).astype(np.float32)
+    rows = [(i, few[i % 7].tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    same(result(df, "vec_id % 10 = 0"), brute(rows, lambda q: q % 10 == 0))
+
+
+def test_edge_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]),
+        (None, [1.0, 1.0]), (7, [1e-30, 1e-30]), (8, [1e30, 1e30]), (9, [1.0, 0.0, 0.0]), (50, [0.0, 1.0]), (100, [2.0]),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as block", "2 as score", "3 as rank")
+    got = result(df)
+    assert [r[:3] for r in got] == [(0, 1, 7), (0, 2, 8), (0, 3, 50), (50, 1, 7), (50, 2, 8), (50, 3, 0)]
+    assert neighbours.nearest(df.limit(0), df).count() == 0
+    assert neighbours.nearest(df, df.limit(0)).count() == 0
+
+
+def test_repeated_rows(spark):
+    rows = [(0, [1.0, 0.0])] * 2 + [(1, [1.0, 1.0])] * 3
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = result(df, "vec_id = 0", k=2)
+    assert [r[:3] for r in got] == [(0, 1, 1), (0, 1, 1), (0, 2, 1), (0, 2, 1)]

@@ -1,0 +1,68 @@
+import hashlib
+import random
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemart.llm import pii
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    doubled = [int(d) for d in digits[::-1]]
+    return sum(d if i % 2 == 0 else sum(map(int, str(2 * d))) for i, d in enumerate(doubled)) % 10 == 0
+
+
+def base(text):
+    out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))]
+    for m in CARD.finditer(text):
+        digits = re.sub("[ -]", "", m.group())
+        if 12 <= len(digits) <= 19 and luhn(digits):
+            out.append((m.start(), 2, m.end()))
+    out += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 9 <= len(re.findall("[0-9]", m.group())) <= 15]
+    return sorted(out)
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from([*"aZé.%+-@@@ ()\n_:", "0", "4", "12", "255", "1.2.3.4", "4111 1111 1111 1111", "a@b.c",
+                                 "+1 (555) 123-4567", "http://", "account", "::"]), max_size=24))
+def test_base_spans_equal_the_patterns(parts):
+    text = "".join(parts)
+    assert [s for s in pii.find_spans(text) if s[1] < 4] == base(text)
+
+
+def test_test_tables(stored):
+    docs = stored("documents", "/root/testdata/sf0.01")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    got = pii.digests(pii.personal_data(docs)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        spans = base(rows[r.doc_id])
+        text = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in spans)
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        counts = [sum(k == kind for _, k, _ in spans) for kind in range(4)]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == counts
+    assert any(r.n_email for r in got)
+
+
+def test_added_kinds():
+    text = "see https://x.org/a?b=1. Account no: 12345678, IBAN DE89 3704 0044 0532 0130 00; iban DE00 3704 0044 0532 0130 00"
+    found = [(pii.KINDS[k], text[s:e]) for s, k, e in pii.find_spans(text)]
+    assert ("url", "https://x.org/a?b=1") in found and ("account", "12345678") in found
+    assert [f for f in found if f[0] == "iban"] == [("iban", "DE89 3704 0044 0532 0130 00")]
+
+
+def test_edge_cases(documents):
+    long = "a" * 200_000 + "@" + "1" * 200_000 + "." * 1000 + "@@" + "9.9." * 50_000
+    rows = [(1, None), (2, ""), (None, "a@b.cd"), (3, long), (3, "a@b.cd")]
+    odd = documents(rows).selectExpr("*", "1 as found", "2 as spans")
+    got = {(r.doc_id, r.n_email) for r in pii.digests(pii.personal_data(odd)).collect()}
+    assert {(1, 0), (2, 0), (None, 1), (3, 1)} <= got
+    assert pii.personal_data(documents([])).count() == 0
+    random.seed(0)

@@ -23,7 +23,7 @@ SKETCH_ROWS = 64
 # Cells of the suffix filter.
 CELLS = 32
 
-_SIGNATURES = "doc_id long, row_key long, n long, node long, check long, part int, counts binary"
+_SIGNATURES = "doc_id long, row long, row_key long, n long, node long, check long, part int, counts binary"
 
 
 def needed(n: int, percent: int) -> int:
@@ -37,7 +37,7 @@ def _index(sets: np.ndarray) -> np.ndarray:
 
 def _signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("row_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()),
+        [("doc_id", pa.int64()), ("row", pa.int64()), ("row_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()),
          ("check", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())]
     )
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
@@ -57,7 +57,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Re
             sketch += np.bincount(np.concatenate(gathered), minlength=len(sketch)).astype(np.uint32)
         none = pa.nulls(batch.num_rows)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("row_key"), pa.array(n), pa.array(node), pa.array(check),
+            [batch.column("doc_id"), batch.column("row"), batch.column("row_key"), pa.array(n), pa.array(node), pa.array(check),
              none.cast(pa.int32()), none.cast(pa.binary())],
             schema=schema,
         )
@@ -66,7 +66,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Re
         packed = [zlib.compress(part.tobytes(), 1) for part in np.split(sketch, SKETCH_ROWS)]
         none = pa.nulls(len(parts), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none] * 5 + [pa.array(parts, pa.int32()), pa.array([packed[i] for i in parts], pa.binary())],
+            [none] * 6 + [pa.array(parts, pa.int32()), pa.array([packed[i] for i in parts], pa.binary())],
             schema=schema,
         )
 
@@ -181,31 +181,17 @@ def _may_link(percent: int):
     return condition
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs`` (doc_id, text, ...).
-
-    Two documents link when ``100 * intersection >= percent * union`` of their distinct word
-    n-grams; a component is named by the smallest doc_id reachable over links. No link between
-    different sets is missed, the result is exact up to equal 64-bit hashes of different n-grams.
-
-    How: documents with equal sets are one node from the start. A sketch of fixed size counts all
-    n-grams; each set is ordered rarest first by it and only its prefix is posted, for two sets that
-    link share an n-gram of both prefixes. The order may be any that all sets agree on, so collisions in
-    the sketch cost time at most. Pairs that share a prefix n-gram pass length and positional filters,
-    are made distinct, fetch their sets, pass the suffix filter and are verified once.
-
-    Nulls: a null or wordless text has no n-grams and links with nothing. A null doc_id takes part
-    under its text, but names no component (a component of only such rows gets null). Repeated rows
-    each get a row. Other columns are ignored. An empty table gives an empty result.
-    """
+def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Every row (doc_id, row, n, node), and the component of every node."""
     spark = docs.sparkSession
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",
         F.xxhash64("doc_id", "text").alias("row_key"),
+        F.monotonically_increasing_id().alias("row"),
     )
     rows = staged(keyed.mapInArrow(partial(_signatures, words=words), _SIGNATURES), "ngram-rows")
-    signed = rows.where("part is null").select("doc_id", "row_key", "n", "node", "check")
+    signed = rows.where("part is null").select("doc_id", "row", "row_key", "n", "node", "check")
     parts = rows.where("part is not null").select("part", "counts")
     # At most SKETCH_ROWS rows of a fixed size.
     added = parts.repartition("part").mapInArrow(_added, "part int, counts binary").collect()
@@ -259,13 +245,44 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         .select("node", "lowest", F.coalesce("component", "node").alias("component")),
         "ngram-named",
     )
-    lowest = named.groupBy("component").agg(F.min("lowest").alias("component_id"))
-    ids = staged(
-        named.join(staged(lowest, "ngram-lowest"), "component").select("node", "component_id"), "ngram-ids"
-    )
-    joined = signed.join(ids, "node", "left")
-    return joined.select(
+    return signed.select("doc_id", "row", "n", "node"), named
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs`` (doc_id, text, ...).
+
+    Two documents link when ``100 * intersection >= percent * union`` of their distinct word
+    n-grams; a component is named by the smallest doc_id reachable over links. No link between
+    different sets is missed, the result is exact up to equal 64-bit hashes of different n-grams.
+
+    How: documents with equal sets are one node from the start. A sketch of fixed size counts all
+    n-grams; each set is ordered rarest first by it and only its prefix is posted, for two sets that
+    link share an n-gram of both prefixes. The order may be any that all sets agree on, so collisions in
+    the sketch cost time at most. Pairs that share a prefix n-gram pass length and positional filters,
+    are made distinct, fetch their sets, pass the suffix filter and are verified once.
+
+    Nulls: a null or wordless text has no n-grams and links with nothing. A null doc_id takes part
+    under its text, but names no component (a component of only such rows gets null). Repeated rows
+    each get a row. Other columns are ignored. An empty table gives an empty result.
+    """
+    signed, named = _classes(docs, words, percent)
+    lowest = staged(named.groupBy("component").agg(F.min("lowest").alias("component_id")), "ngram-lowest")
+    ids = staged(named.join(lowest, "component").select("node", "component_id"), "ngram-ids")
+    return signed.join(ids, "node", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def one_per_component(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the one with the smallest doc_id, the
+    first in the table if that repeats, one without an id only if no other has one. Rows without words
+    stay. ``docs`` must give its rows in the same order when read again, as files do."""
+    signed, named = _classes(docs, words, percent)
+    rows = signed.where("n > 0").join(named.select("node", "component"), "node")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    first = rows.groupBy("component").agg(F.min(rank).alias("first")).select(F.col("first.row").alias("_row"))
+    stay = staged(first.union(signed.where("n = 0").select(F.col("row").alias("_row"))), "ngram-stay")
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.join(stay, "_row", "left_semi").select(*docs.columns)
