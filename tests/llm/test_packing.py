@@ -5,7 +5,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tidemart.llm import packing, token_counts
-from tidemart.llm.tokens import Encoder, default_tokenizer
+from tidemart.llm.tokens import Encoder, default_ranks, default_tokenizer
 
 
 @pytest.fixture(scope="module")
@@ -62,8 +62,8 @@ def test_edge_cases(documents, tokenizer):
 
 
 def test_encoder_equals_the_tokenizer(stored, tokenizer):
-    encoder = Encoder(default_tokenizer())
-    odd = ["a  b", " a", "a ", "\n \n x", "x  y", "x  y", "it's we'll", "\x1c. a\x1cb", "1 2\t\t3", "  \n", "ﬁ½²", ""]
+    encoder = Encoder(default_tokenizer(), ranks=default_ranks())
+    odd = ["a  b", " a", "a ", "\n \n x", "x  y", "x  y", "it's we'll", "\x1c. a\x1cb", "1 2\t\t3", "  \n", "ﬁ½²", "", "<|endoftext|>a", "　x", "q" * 30_000, " " * 30_000]
     texts = [r.text for r in stored("documents").collect()] + odd
     for text in texts:
         assert encoder.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids

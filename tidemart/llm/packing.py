@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .tokens import Encoder, default_tokenizer, texts_of
+from .tokens import Encoder, choice, texts_of
 
 CAPACITY = 2048
 OPEN_WINDOWS = 64
@@ -87,8 +87,8 @@ class _Output:
             self.rows = []
 
 
-def _pack(batches, tokenizer: str, end_id: int, capacity: int, most_open: int, with_ids: bool):
-    encoder, packer, out = Encoder(tokenizer), Packer(capacity, most_open), _Output(0)
+def _pack(batches, encoder: dict, end_id: int, capacity: int, most_open: int, with_ids: bool):
+    encoder, packer, out = Encoder(**encoder), Packer(capacity, most_open), _Output(0)
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text"))):
             ids = np.append(encoder.ids(text), np.uint32(end_id)).astype("<u4")
@@ -118,6 +118,7 @@ def _merge(batches, capacity: int, most_open: int, round_: int, last: bool):
 def pack(
     docs: DataFrame,
     tokenizer: str | None = None,
+    ranks: tuple[str, str] | None = None,
     end_id: int = 1,
     capacity: int = CAPACITY,
     open_windows: int = OPEN_WINDOWS,
@@ -135,7 +136,7 @@ def pack(
     like others; other columns are ignored. An empty table gives an empty result.
     """
     run = partial(
-        _pack, tokenizer=tokenizer or default_tokenizer(), end_id=end_id, capacity=capacity,
+        _pack, encoder=choice(tokenizer, ranks), end_id=end_id, capacity=capacity,
         most_open=open_windows, with_ids=with_ids,
     )
     packed = staged(docs.select("doc_id", "text").mapInArrow(run, _WINDOW), "packed")

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import shared_folder, staged
-from .tokens import Encoder, default_tokenizer, texts_of
+from .tokens import Encoder, choice, texts_of
 
 END_ID = 50256
 BLOCK_BYTES = 4 << 20
@@ -28,8 +28,8 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def _write(batches, folder: str, tokenizer: str, end_id: int, dtype: str) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(tokenizer, plain_specials=True)
+def _write(batches, folder: str, encoder: dict, end_id: int, dtype: str) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder(**encoder, plain_specials=True)
     name = f"tokens-{TaskContext.get().partitionId():06d}.bin"
     system, root = _open(folder)
     # A repeated task writes its own file and puts it in place of the first one's.
@@ -57,14 +57,19 @@ def _write(batches, folder: str, tokenizer: str, end_id: int, dtype: str) -> Ite
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = END_ID, dtype: str = "<u2"
+    docs: DataFrame,
+    folder: str,
+    tokenizer: str | None = None,
+    ranks: tuple[str, str] | None = None,
+    end_id: int = END_ID,
+    dtype: str = "<u2",
 ) -> tuple[DataFrame, DataFrame]:
     """Write a token file per partition to ``folder``, which all executors reach through an Arrow
     file system. Returns the files (file, bytes) and which document each file holds where
     (file, ordinal, doc_id). A null text is an empty document."""
     system, root = _open(folder)
     system.create_dir(root, recursive=True)
-    run = partial(_write, folder=folder, tokenizer=tokenizer or default_tokenizer(), end_id=end_id, dtype=dtype)
+    run = partial(_write, folder=folder, encoder=choice(tokenizer, ranks), end_id=end_id, dtype=dtype)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "file string, ordinal long, doc_id long, bytes long"
     )
