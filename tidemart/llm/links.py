@@ -63,6 +63,8 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
 def with_hubs(postings: DataFrame) -> DataFrame:
     """Postings (key, node, info) of keys with two nodes or more, with the first and last node of each
     key as ``low`` and ``high`` (structs of node and info)."""
+    # Before the structs are made, so that they are not shuffled.
+    postings = postings.repartition("key")
     key = W.partitionBy("key")
     here = F.struct("node", "info")
     return (

@@ -89,7 +89,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], sketch, words: int, percent: in
     """Prefix shingles, rarest first. Copies of a set met before in this task are left out."""
     frequency, seen = sketch.value, set()
     for batch in batches:
-        tokens, nodes, sizes, places = [], [], [], []
+        tokens, nodes, infos = [], [], []
         for _, found in shingle_sets(batch.column("text"), words):
             if not len(found):
                 continue
@@ -102,13 +102,12 @@ def _prefixes(batches: Iterator[pa.RecordBatch], sketch, words: int, percent: in
             order = np.lexsort((found, frequency[_index(found)]))[:length]
             tokens.append(found[order].astype(np.int64))
             nodes.append(np.full(length, node))
-            sizes.append(np.full(length, n, np.int32))
-            places.append(np.arange(length, dtype=np.int32))
+            infos.append(np.arange(length, dtype=np.int64) + (n << 32))
         if tokens:
-            columns = [np.concatenate(c) for c in (tokens, nodes, sizes, places)]
+            columns = [np.concatenate(c) for c in (tokens, nodes, infos)]
             for at in range(0, len(columns[0]), 1 << 18):
                 part = [pa.array(c[at : at + (1 << 18)]) for c in columns]
-                yield pa.RecordBatch.from_arrays(part, names=["key", "node", "n", "pos"])
+                yield pa.RecordBatch.from_arrays(part, names=["key", "node", "info"])
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -157,7 +156,8 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 
 
 def _may_link(percent: int):
-    """Length and positional filter for two postings of one shingle; infos are (n, pos).
+    """Length and positional filter for two postings of one shingle; an info holds the size of the set
+    (upper half) and the place of the shingle in it.
 
     The shorter set needs the shingle within its shorter, indexed prefix only: if two sets link,
     the rarest shingle they share lies there. What both have before the shingle and what both have
@@ -165,8 +165,8 @@ def _may_link(percent: int):
     """
 
     def condition(one: Column, other: Column) -> Column:
-        n, pos = one["n"].cast("long"), one["pos"].cast("long")
-        m, at = other["n"].cast("long"), other["pos"].cast("long")
+        n, pos = F.shiftright(one, 32), one.bitwiseAND(F.lit(2**32 - 1))
+        m, at = F.shiftright(other, 32), other.bitwiseAND(F.lit(2**32 - 1))
         indexed = lambda size: size - F.ceil(F.lit(2 * percent) * size / F.lit(100 + percent)) + 1
         shorter = F.when(n < m, pos < indexed(n)).when(n > m, at < indexed(m)).otherwise(
             F.least(pos, at) < indexed(n)
@@ -215,10 +215,10 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
         raise ArithmeticError("two different shingle sets have the same 64-bit fingerprint")
 
     prefixes = docs.select("text").mapInArrow(
-        partial(_prefixes, sketch=sketch, words=words, percent=percent), "key long, node long, n int, pos int"
+        partial(_prefixes, sketch=sketch, words=words, percent=percent), "key long, node long, info long"
     )
     shared = staged(
-        with_hubs(prefixes.select("key", "node", F.struct("n", "pos").alias("info"))), "ngram-shared"
+        with_hubs(prefixes), "ngram-shared"
     )
     wanted = staged(
         shared.select("node").distinct().join(nodes.select("node", "row_key"), "node"), "ngram-wanted"
