@@ -1,4 +1,6 @@
+import csv
 import json
+from dataclasses import replace
 from datetime import date
 from glob import glob
 
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemart import schemas
 from tidemart.operators.topk import history, latest_per_entity, shareable_sample, strongest_per_month
 from tidemart.plans import contracts, metadata, reports
-from tidemart.plans.build import build_marts, make_sample, read_sources, run_build
+from tidemart.plans.build import build_marts, make_sample, read_sources, run_build, validate_outputs
 from tidemart.session import staged
 from tidemart.settings import RunSettings, new_extract_id, new_run_id
 from tidemart.sinks import jdbc, tables
@@ -260,11 +262,50 @@ def test_pipeline_run_and_splits(spark, frame):
         [{"entity_type": "role", "month": date(y, 6, 1)} for y in (2022, 2023, 2024, 2025, 2026)],
     )
     (split,) = metadata.model_eval_splits(features, SETTINGS, test=date(2026, 1, 1)).collect()
-    assert split.train_start_month == date(2023, 6, 1) and split.train_end_month == date(2024, 6, 1)
-    assert split.validation_start_month == split.validation_end_month == date(2025, 6, 1)
-    assert split.test_start_month == date(2026, 6, 1)
+    assert split.train_start_month == date(2023, 1, 1) and split.train_end_month == date(2024, 6, 1)
+    assert split.validation_start_month == date(2025, 1, 1)
+    assert split.validation_end_month == date(2025, 6, 1)
+    assert split.test_start_month == date(2026, 1, 1) and split.test_end_month == date(2026, 6, 1)
     (split,) = metadata.model_eval_splits(features, SETTINGS).collect()
     assert split.validation_end_month == date(2026, 6, 1) and split.test_start_month is None
+    only_train = features.where("month < date'2025-01-01'")
+    splits = metadata.model_eval_splits(only_train, SETTINGS)
+    contracts.require_contract(splits.withColumn("entity_type", F.lit("role")), "splits", schemas.METADATA["model_eval_splits"])
+    assert splits.first().validation_start_month == date(2025, 1, 1)
+    assert metadata.model_eval_splits(features.where("month >= date'2025-01-01'"), SETTINGS).count() == 0
+
+
+def test_csv_is_read_back_by_a_strict_reader(spark, tmp_path):
+    values = [' Bob "X", Inc ', "", None, "a\nb", '"', "\\", "\\\"", "é,", "plain"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k int, v string").coalesce(1)
+    tables.write_csv(df, str(tmp_path / "c"))
+    (path,) = glob(f"{tmp_path}/c/part-*")
+    rows = list(csv.reader(open(path, newline="", encoding="utf-8"), strict=True))
+    assert rows == [["k", "v"], *[[str(i), v or ""] for i, v in enumerate(values)]]
+
+
+def test_range_keeps_the_end_day_of_timestamps(spark, tmp_path):
+    df = spark.sql("select timestamp'2024-01-31 10:00:00' as post_date, 1 as job_id union all "
+                   "select timestamp'2024-01-01 00:00:00', 2 union all select timestamp'2024-02-01 00:00:00', 3")
+    tables.write_monthly(df, str(tmp_path / "m"))
+    got = snapshot.read_monthly(spark, str(tmp_path / "m"), start=date(2024, 1, 1), end=date(2024, 1, 31))
+    assert sorted(r.job_id for r in got.collect()) == [1, 2]
+
+
+def test_months_with_other_columns(spark, tmp_path):
+    spark.range(2).write.parquet(str(tmp_path / "postings/year=2024/month=1"))
+    spark.range(3).selectExpr("id", "'s' as skill_id").write.parquet(str(tmp_path / "postings/year=2024/month=2"))
+    got = snapshot.read_or_empty(spark, str(tmp_path / "postings"), schemas.REGIONS)
+    assert got.where("skill_id = 's'").count() == 3 and got.count() == 5
+    with pytest.raises(ValueError, match="rcid"):
+        read_sources(spark, str(tmp_path))
+
+
+def test_no_sample_of_absent_marts(spark, tmp_path):
+    settings = replace(SETTINGS, output_root=str(tmp_path / "none"), sample_root=str(tmp_path / "dev"))
+    assert make_sample(spark, settings) == []
+    with pytest.raises(FileNotFoundError, match="job_demand"):
+        validate_outputs(spark, settings)
 
 
 def test_manifest_is_nested(spark, folder):

@@ -18,20 +18,26 @@ _FLOATING = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
 def whole_key(df: DataFrame, name: str) -> Column:
-    """A join key as long. Floats round half-even, text must be a whole number."""
+    """A join key as long. Floats round half-even, text must be a whole number; a float that is no number
+    or too large for a key is null."""
     kind = df.schema[name].dataType
     if isinstance(kind, _FLOATING):
-        return F.rint(F.col(name).cast("double")).cast("long")
+        return _rounded(F.col(name).cast("double"))
     return F.col(name).cast("long")
 
 
 def numeric_key_or_null(df: DataFrame, name: str) -> Column:
     """Like :func:`whole_key`, but text that is no number becomes null."""
     if isinstance(df.schema[name].dataType, T.StringType):
-        return F.rint(number_or_null(df, name)).cast("long")
+        return _rounded(number_or_null(df, name))
     return whole_key(df, name)
 
 
+def _rounded(number: Column) -> Column:
+    whole = F.rint(number)
+    return F.when(~F.isnan(whole), whole.try_cast("long"))
+
+
 def number_or_null(df: DataFrame, name: str) -> Column:
     """A double, or null where text is not a plain number (``5d`` and ``1_000`` are not)."""
     col = F.col(name)

@@ -8,57 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# A group with more distinct values than this is not gathered in one aggregation buffer.
-MAX_BUFFERED_VALUES = 200_000
-# Buckets per e-fold of the value when a larger group is searched in two steps.
+# Buckets per e-fold of the value.
 RESOLUTION = 4_096
-# Into how many parts the join that tells large groups apart spreads each group.
-LANES = 64
-
 
 def grouped_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    quantiles: Mapping[str, float],
-    max_buffered: int = MAX_BUFFERED_VALUES,
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]
 ) -> DataFrame:
     """One row per group with each ``quantiles`` name as a column.
 
-    Equal values are counted before anything is gathered, so a hot group costs its distinct
-    values only. Groups whose distinct values still exceed ``max_buffered`` take a second, equally
-    exact way: a histogram finds the bucket of each wanted rank, and only those buckets are ranked.
+    Equal values are counted first. A histogram per group then finds the buckets of the wanted ranks,
+    two per quantile at most, and only the values in those buckets are ranked. So no group is gathered
+    anywhere, whatever its size, and the result is exact.
 
     Keys must not be null; rows without a value do not count.
     """
-    # Stated up front, the conditions Catalyst would derive for some of the joins below and not for
-    # others hold for all of them, so every branch reads one shuffle of ``counted``.
     df = df.dropna(subset=[*keys, value])
-    lane = F.xxhash64(value).bitwiseAND(LANES - 1)
-    counted = (
-        df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_lane", lane)
-    )
-    # So does the condition on the count, without which this branch would drop that column.
-    wide = (
-        counted.where("_n > 0")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_values"))
-        .where(F.col("_values") > max_buffered)
-        .select(*keys, F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))).alias("_lane"))
-        .withColumn("_lane", F.col("_lane").cast("long"))
-    )
-    in_lane = [*keys, "_lane"]
-    probabilities = list(quantiles.values())
-    buffered = (
-        counted.join(wide, in_lane, "left_anti")
-        .groupBy(*keys)
-        .agg(F.percentile(value, probabilities, F.col("_n")).alias("_q"))
-        .select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)])
-    )
-    searched = _by_rank_search(
-        counted.join(wide, in_lane, "left_semi"), keys, value, quantiles
-    )
-    return buffered.unionByName(searched)
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    return _by_rank_search(counted, keys, value, quantiles)
 
 
 def _bucket(value: Column) -> Column:

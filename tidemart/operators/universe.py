@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Up to this many ids a list is a literal predicate, which Catalyst can push below every join.
-# Longer lists are joined instead.
-MAX_LITERAL_IDS = 2_000
-
 
 @dataclass(frozen=True)
 class Allowlist:
@@ -56,29 +53,16 @@ def dimension(allowlist: Allowlist, spark: SparkSession) -> DataFrame:
     return allowlist.frame(spark).distinct()
 
 
-def _member(df: DataFrame, allowlist: Allowlist, max_literals: int) -> tuple[DataFrame, Column]:
-    key = allowlist.id_column
-    if len(allowlist.ids) <= max_literals:
-        return df, F.col(key).isin(allowlist.ids)
-    flag = f"_{allowlist.kind}_listed"
-    # Each id once: listed under two names, it must not double its postings.
-    ids = df.sparkSession.createDataFrame([(i, True) for i in allowlist.ids], f"{key} string, {flag} boolean")
-    return df.join(ids, key, "left"), F.coalesce(F.col(flag), F.lit(False))
-
+def in_universe(postings: DataFrame, roles: Allowlist, skills: Allowlist) -> DataFrame:
+    """Postings whose role or skill is listed. Only if both lists are empty does everything pass.
 
-def in_universe(
-    postings: DataFrame,
-    roles: Allowlist,
-    skills: Allowlist,
-    max_literals: int = MAX_LITERAL_IDS,
-) -> DataFrame:
-    """Postings whose role or skill is listed. Only if both lists are empty does everything pass."""
+    The lists are configuration, so they are literal sets whatever their length: one predicate on
+    posting columns, which Catalyst runs next to the scan, below every join.
+    """
     if not roles.ids and not skills.ids:
         return postings
-    columns = postings.columns
-    flagged, by_role = _member(postings, roles, max_literals)
-    flagged, by_skill = _member(flagged, skills, max_literals)
-    return flagged.where(by_role | by_skill).select(*columns)
+    listed = [F.col(a.id_column).isin(a.ids) for a in (roles, skills) if a.ids]
+    return postings.where(reduce(lambda one, other: one | other, listed))
 
 
 def allowlist_sizes(roles: DataFrame, skills: DataFrame) -> DataFrame:

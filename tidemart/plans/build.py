@@ -13,7 +13,8 @@ from ..operators.universe import Allowlist
 from ..session import shared_folder, staged
 from ..settings import RunSettings
 from ..sinks.tables import export_marts, replace_unless_empty
-from ..sources.snapshot import posting_file_schema, read_or_empty
+from ..sources.snapshot import exists, posting_file_schema, read_or_empty, require_columns
+from .contracts import require_contract
 from .demand import job_demand
 from .salary import salary_distribution
 from .skills import role_skill_associations, skill_demand
@@ -21,6 +22,21 @@ from .staging import posting_cube, universe_postings
 from .trajectory import trajectory_features, trajectory_labels
 
 
+# What the marts read of a posting.
+POSTING_COLUMNS = (
+    "job_id",
+    "rcid",
+    "post_date",
+    "remove_date",
+    "country",
+    "state",
+    "metro_area",
+    "role_k17000_v3",
+    "role_k1500_v2",
+    "salary",
+)
+
+
 @dataclass(frozen=True)
 class Sources:
     postings: DataFrame
@@ -29,9 +45,11 @@ class Sources:
 
 
 def read_sources(spark: SparkSession, root: str) -> Sources:
-    """A snapshot folder; any part may be absent and is then empty."""
+    """A snapshot folder; any part may be absent and is then empty. Of a part that is there, the columns
+    the marts need must be, too; skills are optional."""
+    postings = read_or_empty(spark, f"{root}/postings", posting_file_schema())
     return Sources(
-        postings=read_or_empty(spark, f"{root}/postings", posting_file_schema()),
+        postings=require_columns(postings, POSTING_COLUMNS, "postings"),
         company=read_or_empty(spark, f"{root}/company_mapping", schemas.COMPANY),
         regions=read_or_empty(spark, f"{root}/regions", schemas.REGIONS),
     )
@@ -75,23 +93,34 @@ def run_build(
     settings: RunSettings,
     grain: str = "role",
 ) -> dict[str, DataFrame]:
-    """Read the snapshot under ``source_root``, build, and export to ``output_root``."""
+    """Read the snapshot under ``source_root``, build, export to ``output_root`` and validate."""
     marts = build_marts(read_sources(spark, settings.source_root), roles, skills, settings, grain)
     export_marts(marts, settings.output_root)
-    exported = {
-        name: spark.read.schema(df.schema).parquet(f"{settings.output_root}/{name}.parquet")
-        for name, df in marts.items()
-    }
+    exported = validate_outputs(spark, settings)
     if exported["trajectory_features"].isEmpty() and not exported["job_demand"].isEmpty():
         warnings.warn(f"no entity has {settings.min_observations} observed months: no trajectories")
     return exported
 
 
+def validate_outputs(spark: SparkSession, settings: RunSettings) -> dict[str, DataFrame]:
+    """All exported marts, each present and within its contract; anything else is an error."""
+    missing = [n for n in schemas.MARTS if not exists(spark, f"{settings.output_root}/{n}.parquet")]
+    if missing:
+        raise FileNotFoundError(f"marts not exported: {', '.join(missing)}")
+    found = {}
+    for name, contract in schemas.MARTS.items():
+        found[name] = spark.read.parquet(f"{settings.output_root}/{name}.parquet")
+        require_contract(found[name], name, contract)
+    return found
+
+
 def make_sample(spark: SparkSession, settings: RunSettings) -> list[str]:
     """Write the shareable sample of every exported mart; returns the marts written."""
     written = []
-    for name, contract in schemas.MARTS.items():
-        mart = read_or_empty(spark, f"{settings.output_root}/{name}.parquet", contract.schema)
+    for name in schemas.MARTS:
+        if not exists(spark, f"{settings.output_root}/{name}.parquet"):
+            continue
+        mart = spark.read.parquet(f"{settings.output_root}/{name}.parquet")
         sample = shareable_sample(mart, name, settings.min_disclosed_count, settings.sample_rows)
         if replace_unless_empty(sample, f"{settings.sample_root}/{name}.csv"):
             written.append(name)

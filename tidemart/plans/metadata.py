@@ -70,25 +70,29 @@ def model_eval_splits(
     validation: date | None = None,
     test: date | None = None,
 ) -> DataFrame:
-    """Observed month ranges of the splits, one row per entity type."""
+    """Month ranges of the splits, one row per entity type that has months to train on.
+
+    Splits start at their configured months and end at the last month observed in them.
+    """
     train = train or settings.train_start
     validation = validation or settings.validation_start
     month = F.col("month")
     split = split_of(month, validation, test)
 
-    def edge(aggregate, name: str) -> Column:
-        return aggregate(F.when(F.col("_split") == name, month))
+    def last(name: str) -> Column:
+        return F.max(F.when(F.col("_split") == name, month)).alias(f"{name}_end_month")
+
+    def start(day: date | None, name: str) -> Column:
+        return F.lit(day).cast("date").alias(f"{name}_start_month")
 
     ranges = (
         features.where(month >= F.lit(train))
         .withColumn("_split", split)
         .groupBy("entity_type")
-        .agg(
-            *[
-                edge(aggregate, name).alias(f"{name}_{side}_month")
-                for name in ("train", "validation", "test")
-                for side, aggregate in (("start", F.min), ("end", F.max))
-            ]
+        .agg(*[last(name) for name in ("train", "validation", "test")])
+        .where("train_end_month is not null")
+        .select(
+            "*", start(train, "train"), start(validation, "validation"), start(test, "test")
         )
     )
     return ranges.withColumns(

@@ -17,8 +17,8 @@ def valid_salary(base: DataFrame) -> DataFrame:
     return base.where((F.col("salary_usd") > 0) & ~F.isnan("salary_usd"))
 
 
-def salary_distribution(base: DataFrame, **options) -> DataFrame:
-    return grouped_quantiles(valid_salary(base), CELL, "salary_usd", QUARTILES, **options)
+def salary_distribution(base: DataFrame) -> DataFrame:
+    return grouped_quantiles(valid_salary(base), CELL, "salary_usd", QUARTILES)
 
 
 def salary_distribution_approx(base: DataFrame, accuracy: int = 10_000) -> DataFrame:

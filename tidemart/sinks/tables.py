@@ -44,8 +44,21 @@ def write_mart(df: DataFrame, path: str, order: Sequence[str]) -> None:
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
+def _csv(df: DataFrame, path: str) -> None:
+    """Standard CSV: quotes doubled, blanks at the ends of values kept, so any strict reader gets the
+    values back. An empty text is written quoted, a null as nothing."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    _csv(df, path)
 
 
 def export_marts(marts: Mapping[str, DataFrame], folder: str) -> None:
@@ -62,7 +75,7 @@ def export_marts(marts: Mapping[str, DataFrame], folder: str) -> None:
 
 def write_report(df: DataFrame, path: str, order: Sequence) -> None:
     """A frequency report as one ordered CSV part: it has a row per role, not per posting."""
-    df.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    _csv(df.orderBy(*order).coalesce(1), path)
 
 
 def replace_unless_empty(df: DataFrame, path: str) -> bool:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .extract import in_half_open_window
 
 PARTITIONS = T.StructType(
     [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
@@ -17,6 +19,7 @@ PARTITIONS = T.StructType(
 
 
 # A path that does not exist, and a folder without a data file.
+LAST_DAY = date(9999, 12, 30)
 ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -36,23 +39,44 @@ def read_monthly(
 
     A date range prunes folders: a predicate on ``post_date`` alone would open every month.
     """
-    reader = spark.read.schema(schema) if schema else spark.read
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
     df = reader.parquet(path)
     index = F.col("year") * 12 + F.col("month")
     if start:
         df = df.where(index >= start.year * 12 + start.month)
-        df = df.where(F.col("post_date") >= F.lit(start))
     if end:
         df = df.where(index <= end.year * 12 + end.month)
-        df = df.where(F.col("post_date") <= F.lit(end))
+    if start or end:
+        df = df.where(in_half_open_window("post_date", start or date.min, end or LAST_DAY))
     return df
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet source that may be absent: as stored, or else an empty frame of ``schema``."""
+    """A Parquet source that may be absent: as stored, or else an empty frame of ``schema``.
+
+    The columns of all its files are read, so one that only some months have is null in the others.
+    """
     try:
-        return spark.read.parquet(path)
+        return spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as error:
         if error.getCondition() not in ABSENT:
             raise
         return spark.createDataFrame([], schema)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table is there."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ABSENT:
+            raise
+        return False
+    return True
+
+
+def require_columns(df: DataFrame, names: Iterable[str], source: str) -> DataFrame:
+    missing = [name for name in names if name not in df.columns]
+    if missing:
+        raise ValueError(f"{source} lacks columns {missing}")
+    return df

@@ -444,8 +444,18 @@ oracle(
     """SELECT p.country, job_id, post_date, ifnull(region, 'Unknown') AS region
     FROM postings p LEFT JOIN regions r ON r.country = p.country""",
 )
-oracle("dim_role", "SELECT DISTINCT role_id, role_name FROM role_postings")
-oracle("dim_skill", "SELECT DISTINCT skill_id, skill_name FROM skill_postings")
+oracle(
+    "dim_role",
+    """SELECT role_id, role_name, count(b.month) AS posting_count
+    FROM (VALUES ('ECONOMY', 'economy role'), ('LARGE', 'large role'), ('PROMO', 'promo role')) v(role_id, role_name)
+    LEFT JOIN base_postings b USING (role_id, role_name) GROUP BY role_id, role_name""",
+)
+oracle(
+    "dim_skill",
+    """SELECT skill_id, skill_name, count(b.month) AS posting_count
+    FROM (VALUES ('BRAND#12', 'Brand#12'), ('BRAND#7', 'Brand#7')) v(skill_id, skill_name)
+    LEFT JOIN base_postings b USING (skill_id, skill_name) GROUP BY skill_id, skill_name""",
+)
 oracle(
     "allowlist_sizes",
     """SELECT (SELECT count(*) FROM (SELECT DISTINCT role_id, role_name FROM role_postings))
@@ -689,13 +699,12 @@ oracle(
 oracle(
     "model_eval_splits",
     """SELECT 'run_standin:' || entity_type AS split_id, 'run_standin' AS run_id, entity_type,
-           min(month) FILTER (month < DATE '2000-01-01') AS train_start_month,
+           DATE '1998-01-01' AS train_start_month,
            max(month) FILTER (month < DATE '2000-01-01') AS train_end_month,
-           min(month) FILTER (month BETWEEN DATE '2000-01-01' AND DATE '2000-12-31')
-               AS validation_start_month,
+           DATE '2000-01-01' AS validation_start_month,
            max(month) FILTER (month BETWEEN DATE '2000-01-01' AND DATE '2000-12-31')
                AS validation_end_month,
-           min(month) FILTER (month >= DATE '2001-01-01') AS test_start_month,
+           DATE '2001-01-01' AS test_start_month,
            max(month) FILTER (month >= DATE '2001-01-01') AS test_end_month
     FROM features_role WHERE month >= DATE '1998-01-01' GROUP BY entity_type""",
 )

@@ -21,7 +21,7 @@ from ..operators.topk import (
     shareable_sample,
     strongest_per_month,
 )
-from ..operators.universe import allowlist_sizes, in_universe
+from ..operators.universe import allowlist_sizes, dimension, in_universe
 from ..plans import contracts, demand, metadata, reports, salary, skills, staging, trajectory
 from ..plans.build import Sources, build_marts
 from ..schemas import DISCLOSURE_COUNT, MARTS
@@ -319,14 +319,22 @@ def region_enrichment(spark, folder):
     return join_region(source, standin.regions(spark, folder))
 
 
+def _dimension_counts(spark, folder, allowlist) -> DataFrame:
+    """The dimension of a list, with the postings of each id and name."""
+    keys = [allowlist.id_column, f"{allowlist.kind}_name"]
+    counts = base(spark, folder).groupBy(*keys).agg(F.sum("posting_count").alias("posting_count"))
+    found = dimension(allowlist, spark).join(counts, keys, "left")
+    return found.select(*keys, F.coalesce("posting_count", F.lit(0)).alias("posting_count"))
+
+
 @query
 def dim_role(spark, folder):
-    return in_universe(base(spark, folder), ROLES, NO_SKILLS).select("role_id", "role_name").distinct()
+    return _dimension_counts(spark, folder, ROLES)
 
 
 @query
 def dim_skill(spark, folder):
-    return in_universe(base(spark, folder), NO_ROLES, SKILLS).select("skill_id", "skill_name").distinct()
+    return _dimension_counts(spark, folder, SKILLS)
 
 
 register("allowlist_sizes", lambda s, f: allowlist_sizes(dim_role(s, f), dim_skill(s, f)))
