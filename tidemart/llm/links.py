@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 
+HUB_ROUNDS = 2
+
 Condition = Callable[[Column, Column], Column]
 Verify = Callable[[DataFrame], DataFrame]
 
@@ -82,9 +84,11 @@ def linked_components(shared: DataFrame, verify: Verify, condition: Condition, n
     ``shared`` is the written result of :func:`with_hubs`; ``verify`` takes distinct pairs (a, b)
     and returns those that are linked. First every node is tested against the first and the last
     node of its keys, which is linear in the postings, and connected nodes are merged. What can still
-    add a connection is a pair of one key in different components. All of those are tested: the nodes
-    outside the largest component of a key against the nodes of the key. Pairs within a component
-    are left out, because they change nothing.
+    add a connection is a pair of one key in different components. Nodes outside the largest component
+    of a key are then tested against one member of it, drawn anew for every key and round: a node of a
+    large group shares many keys with it, and so meets many of its members at a linear cost. In the end all
+    pairs that are left are tested: the nodes still outside against the nodes of the key. Pairs within
+    a component are left out, because they change nothing.
     """
 
     def pairs(rows: DataFrame, one: str, other: str) -> DataFrame:
@@ -99,31 +103,38 @@ def linked_components(shared: DataFrame, verify: Verify, condition: Condition, n
     links = staged(verify(staged(stars, f"{name}-stars")), f"{name}-links")
     found = components(links, name)
 
-    place = staged(
-        members.withColumn("node", F.col("here.node"))
-        .join(found, "node", "left")
-        .select("key", "here", "low", "high", F.coalesce("component", "node").alias("c")),
-        f"{name}-placed",
-    )
-    sizes = place.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
-    open_keys = staged(
-        sizes.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "c")).alias("top"))
-        .where("parts > 1")
-        .select("key", F.col("top.c").alias("top")),
-        f"{name}-open",
-    )
-    open_place = staged(place.join(open_keys, "key"), f"{name}-openplaced")
-    minor = open_place.where("c <> top").select(
-        "key", F.col("here").alias("one"), F.col("c").alias("c1")
-    )
-    # Pairs with the first or last node of the key have been tested.
-    rest = minor.join(open_place, "key").where(
-        "c <> c1 and one.node <> here.node and one.node <> low.node and one.node <> high.node"
-        " and here.node <> low.node and here.node <> high.node"
-    )
-    across = staged(pairs(rest, "one", "here").distinct(), f"{name}-across")
-    if across.isEmpty():
-        return found
-    more = staged(verify(across), f"{name}-links")
-    return components(links.union(more), name)
+    tested = "one.node in (low.node, high.node) or here.node in (low.node, high.node)"
+    for attempt in range(HUB_ROUNDS + 1):
+        place = staged(
+            members.withColumn("node", F.col("here.node"))
+            .join(found, "node", "left")
+            .select("key", "here", "low", "high", F.coalesce("component", "node").alias("c")),
+            f"{name}-placed",
+        )
+        sizes = place.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
+        open_keys = staged(
+            sizes.groupBy("key")
+            .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "c")).alias("top"))
+            .where("parts > 1")
+            .select("key", F.col("top.c").alias("top")),
+            f"{name}-open",
+        )
+        open_place = staged(place.join(open_keys, "key"), f"{name}-openplaced")
+        minor = open_place.where("c <> top").select(
+            "key", F.col("here").alias("one"), F.col("c").alias("c1")
+        )
+        others = open_place
+        if attempt < HUB_ROUNDS:
+            # One member of the largest component of each key, another for every key and round.
+            draw = F.struct(F.xxhash64("key", "here.node", F.lit(attempt)).alias("order"), "here", "low", "high", "c")
+            hubs = open_place.where("c = top and here.node not in (low.node, high.node)")
+            others = staged(
+                hubs.groupBy("key").agg(F.min(draw).alias("hub")).select("key", "hub.here", "hub.low", "hub.high", "hub.c"),
+                f"{name}-hubs",
+            )
+        rest = minor.join(others, "key").where(f"c <> c1 and one.node <> here.node and not ({tested})")
+        across = staged(pairs(rest, "one", "here").distinct(), f"{name}-across")
+        if not across.isEmpty():
+            links = links.union(staged(verify(across), f"{name}-links"))
+            found = components(links, name)
+    return found
