@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 
 import brute
-from tidemart.llm.ngram_join import near_duplicates
+from tidemart.llm.ngram_join import near_duplicates, parity_bitmap
 
 
 def result(df, **options):
@@ -34,6 +35,16 @@ def test_large_group_of_varied_copies(documents):
     assert len({c for _, _, c in got}) < 100
 
 
+@pytest.mark.parametrize("size", [1, 40, 400, 5000])
+def test_bitmaps_differ_no_more_than_their_sets(size):
+    draw = np.random.default_rng(size)
+    one = np.unique(draw.integers(0, 2**63, size, np.uint64))
+    for changed in (0, 1, size // 10, size // 2):
+        other = np.unique(np.concatenate((one[changed:], draw.integers(0, 2**63, changed // 2, np.uint64))))
+        bits = int(np.bitwise_count((parity_bitmap(one) ^ parity_bitmap(other)).view(np.uint64)).sum())
+        assert bits <= len(np.setxor1d(one, other))
+
+
 def test_chain_of_links(documents):
     long = [f"t{i}" for i in range(400)]
     rows = [(100 - k, " ".join(long[8 * k : 8 * k + 200])) for k in range(20)]

@@ -77,7 +77,14 @@ def with_hubs(postings: DataFrame) -> DataFrame:
     )
 
 
-def linked_components(shared: DataFrame, verify: Verify, condition: Condition, name: str) -> DataFrame:
+def linked_components(
+    shared: DataFrame,
+    verify: Verify,
+    condition: Condition,
+    name: str,
+    marks: DataFrame | None = None,
+    near: Condition | None = None,
+) -> DataFrame:
     """``node, component`` over all pairs of nodes that share a key, meet ``condition`` and pass
     ``verify``, without listing every pair of a large group.
 
@@ -89,11 +96,17 @@ def linked_components(shared: DataFrame, verify: Verify, condition: Condition, n
     large group shares many keys with it, and so meets many of its members at a linear cost. In the end all
     pairs that are left are tested: the nodes still outside against the nodes of the key. Pairs within
     a component are left out, because they change nothing.
+
+    ``marks`` (node, mark) is a small digest of every node of ``shared``, and ``near`` takes two structs of
+    node, info and mark and may be false only for pairs that ``verify`` would refuse. It is part of the join
+    that makes the pairs of the later steps, so most pairs of a large group that are not linked are never made.
     """
 
-    def pairs(rows: DataFrame, one: str, other: str) -> DataFrame:
+    def pairs(rows: DataFrame, one: str, other: str, closer: Condition | None = None) -> DataFrame:
         a, b = F.col(f"{one}.node"), F.col(f"{other}.node")
         passing = (a != b) & condition(F.col(f"{one}.info"), F.col(f"{other}.info"))
+        if closer:
+            passing = passing & closer(F.col(one), F.col(other))
         return rows.where(passing).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
 
     members = shared.select(
@@ -119,7 +132,11 @@ def linked_components(shared: DataFrame, verify: Verify, condition: Condition, n
             .select("key", F.col("top.c").alias("top")),
             f"{name}-open",
         )
-        open_place = staged(place.join(open_keys, "key"), f"{name}-openplaced")
+        open_place = place.join(open_keys, "key")
+        if marks is not None:
+            marked = open_place.withColumn("node", F.col("here.node")).join(marks, "node")
+            open_place = marked.withColumn("here", F.struct("here.node", "here.info", "mark")).drop("node", "mark")
+        open_place = staged(open_place, f"{name}-openplaced")
         minor = open_place.where("c <> top").select(
             "key", F.col("here").alias("one"), F.col("c").alias("c1")
         )
@@ -133,7 +150,7 @@ def linked_components(shared: DataFrame, verify: Verify, condition: Condition, n
                 f"{name}-hubs",
             )
         rest = minor.join(others, "key").where(f"c <> c1 and one.node <> here.node and not ({tested})")
-        across = staged(pairs(rest, "one", "here").distinct(), f"{name}-across")
+        across = staged(pairs(rest, "one", "here", near).distinct(), f"{name}-across")
         if not across.isEmpty():
             links = links.union(staged(verify(across), f"{name}-links"))
             found = components(links, name)

@@ -22,6 +22,8 @@ SKETCH_BITS = 21
 SKETCH_ROWS = 64
 # Cells of the suffix filter.
 CELLS = 32
+# Words of 64 bits in the parity bitmap of a set.
+MARK_WORDS = 8
 
 _SIGNATURES = "doc_id long, row long, row_key long, n long, node long, check long, part int, counts binary"
 
@@ -110,19 +112,33 @@ def _prefixes(batches: Iterator[pa.RecordBatch], sketch, words: int, percent: in
                 yield pa.RecordBatch.from_arrays(part, names=["key", "node", "info"])
 
 
+def parity_bitmap(found: np.ndarray) -> np.ndarray:
+    """Bit i says whether an odd number of the hashes fall into cell i.
+
+    A member of one set only changes one bit, so the bitmaps of two sets differ in no more bits than the
+    sets differ in members.
+    """
+    cells = 64 * MARK_WORDS
+    counts = np.bincount((found & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    def out(rows: list, sets: list, marks: list) -> pa.RecordBatch:
+        columns = [pa.array(rows, pa.int64()), pa.array(sets, pa.binary()), pa.array(marks, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, names=["node", "set", "mark"])
+
     for batch in batches:
         nodes = batch.column("node").to_pylist()
-        rows, sets = [], []
+        rows, sets, marks = [], [], []
         for row, found in shingle_sets(batch.column("text"), words):
             rows.append(nodes[row])
             sets.append(found.tobytes())
+            marks.append(parity_bitmap(found))
             if len(rows) == 1000:
-                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(sets, pa.binary())], names=["node", "set"])
-                rows, sets = [], []
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.array(sets, pa.binary())], names=["node", "set"]
-        )
+                yield out(rows, sets, marks)
+                rows, sets, marks = [], [], []
+        yield out(rows, sets, marks)
 
 
 def _cells(found: np.ndarray) -> np.ndarray:
@@ -181,6 +197,18 @@ def _may_link(percent: int):
     return condition
 
 
+def _near(percent: int):
+    """The suffix filter on parity bitmaps, before a pair is made: sets that link differ in no more members
+    than their sizes allow, and their bitmaps in no more bits. Long sets fill the bitmap and pass."""
+
+    def condition(one: Column, other: Column) -> Column:
+        both = F.shiftright(one["info"], 32) + F.shiftright(other["info"], 32)
+        differ = sum(F.bit_count(one["mark"][i].bitwiseXOR(other["mark"][i])) for i in range(MARK_WORDS))
+        return differ <= both - 2 * F.ceil(F.lit(percent) * both / F.lit(100 + percent))
+
+    return condition
+
+
 def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Every row (doc_id, row, n, node), and the component of every node."""
     spark = docs.sparkSession
@@ -227,7 +255,7 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
         keyed.select("row_key", "text")
         .join(wanted, "row_key")
         .select("node", "text")
-        .mapInArrow(partial(_set_rows, words=words), "node long, set binary")
+        .mapInArrow(partial(_set_rows, words=words), "node long, set binary, mark array<long>")
         .dropDuplicates(["node"]),
         "ngram-sets",
     )
@@ -238,7 +266,9 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
         with_sets = pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b")
         return with_sets.mapInArrow(partial(_verified, percent=percent), "a long, b long")
 
-    found = linked_components(shared, verify, _may_link(percent), "ngram")
+    found = linked_components(
+        shared, verify, _may_link(percent), "ngram", sets.select("node", "mark"), _near(percent)
+    )
     named = staged(
         nodes.select("node", "lowest")
         .join(found, "node", "left")
@@ -259,7 +289,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     n-grams; each set is ordered rarest first by it and only its prefix is posted, for two sets that
     link share an n-gram of both prefixes. The order may be any that all sets agree on, so collisions in
     the sketch cost time at most. Pairs that share a prefix n-gram pass length and positional filters,
-    are made distinct, fetch their sets, pass the suffix filter and are verified once.
+    are made distinct, fetch their sets, pass the suffix filter and are verified once. In large groups the suffix
+    filter also works on bitmaps of fixed size, before pairs are made.
 
     Nulls: a null or wordless text has no n-grams and links with nothing. A null doc_id takes part
     under its text, but names no component (a component of only such rows gets null). Repeated rows
