@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..session import staged
 
 HUB_ROUNDS = 2
+# Rows from which a key's nodes take their marks along: fewer make few pairs, and marks take space.
+MARKED_ROWS = 32
 
 Condition = Callable[[Column, Column], Column]
 Verify = Callable[[DataFrame], DataFrame]
@@ -100,13 +102,15 @@ def linked_components(
     ``marks`` (node, mark) is a small digest of every node of ``shared``, and ``near`` takes two structs of
     node, info and mark and may be false only for pairs that ``verify`` would refuse. It is part of the join
     that makes the pairs of the later steps, so most pairs of a large group that are not linked are never made.
+    Nodes of small keys travel without marks, and their few pairs all go to ``verify``.
     """
 
     def pairs(rows: DataFrame, one: str, other: str, closer: Condition | None = None) -> DataFrame:
         a, b = F.col(f"{one}.node"), F.col(f"{other}.node")
         passing = (a != b) & condition(F.col(f"{one}.info"), F.col(f"{other}.info"))
         if closer:
-            passing = passing & closer(F.col(one), F.col(other))
+            unknown = F.col(f"{one}.mark").isNull() | F.col(f"{other}.mark").isNull()
+            passing = passing & (unknown | closer(F.col(one), F.col(other)))
         return rows.where(passing).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
 
     members = shared.select(
@@ -127,15 +131,18 @@ def linked_components(
         sizes = place.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
         open_keys = staged(
             sizes.groupBy("key")
-            .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "c")).alias("top"))
+            .agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("size"), F.max(F.struct("n", "c")).alias("top"))
             .where("parts > 1")
-            .select("key", F.col("top.c").alias("top")),
+            .select("key", F.col("top.c").alias("top"), "size"),
             f"{name}-open",
         )
         open_place = place.join(open_keys, "key")
         if marks is not None:
-            marked = open_place.withColumn("node", F.col("here.node")).join(marks, "node")
-            open_place = marked.withColumn("here", F.struct("here.node", "here.info", "mark")).drop("node", "mark")
+            large = open_place.where(f"size >= {MARKED_ROWS}").withColumn("node", F.col("here.node"))
+            bare = open_place.where(f"size < {MARKED_ROWS}").withColumn("mark", F.lit(None).cast(marks.schema["mark"].dataType))
+            marked = large.join(marks, "node").drop("node").unionByName(bare)
+            open_place = marked.withColumn("here", F.struct("here.node", "here.info", "mark")).drop("mark")
+        open_place = open_place.drop("size")
         open_place = staged(open_place, f"{name}-openplaced")
         minor = open_place.where("c <> top").select(
             "key", F.col("here").alias("one"), F.col("c").alias("c1")
