@@ -70,3 +70,30 @@ def test_edge_cases(documents):
     assert line_dedup.deduplicated(documents([])).count() == 0
     twice = line_dedup.deduplicated(documents([(None, "a long enough line")] * 3)).collect()
     assert sorted(r.text for r in twice) == ["", "", "a long enough line"]
+
+
+def pairs_found(documents, pairs):
+    """For pairs of lines that stand next to each other, whether the second was found."""
+    rows = [(i, line) for i, line in enumerate(x for pair in pairs for x in pair)]
+    left = {r.doc_id: r.n_removed for r in line_dedup.deduplicated(documents(rows).coalesce(1)).collect()}
+    return [left[2 * i + 1] == 1 for i in range(len(pairs))]
+
+
+def test_planted_edits_on_short_lines(documents):
+    """A changed character inside a line is found from 49 characters, a changed word of five letters from 85."""
+    draw = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    plain = lambda n: "".join(draw.choice(letters) for _ in range(n))
+    kinds, pairs = [], []
+    for length in (40, 48, 49, 60, 80, 84, 85, 88, 100, 130):
+        for width in (1, 5):
+            for _ in range(30):
+                line, at = plain(length), draw.randrange(length // 2 - 8, length // 2)
+                new = "".join(draw.choice("0123456789") for _ in range(width))
+                kinds.append((width, length))
+                pairs.append((line, line[:at] + new + line[at + width :]))
+    found = {}
+    for kind, got in zip(kinds, pairs_found(documents, pairs)):
+        found[kind] = found.get(kind, 0) + got
+    for (width, length), n in found.items():
+        assert n >= 28 if length >= (49 if width == 1 else 85) else n == 0, (width, length, n)
