@@ -97,3 +97,25 @@ def test_planted_edits_on_short_lines(documents):
         found[kind] = found.get(kind, 0) + got
     for (width, length), n in found.items():
         assert n >= 28 if length >= (49 if width == 1 else 85) else n == 0, (width, length, n)
+
+
+def test_recall_near_the_similarity(spark):
+    """Bands of pairs of a similarity of 0.80 to 0.85, of short and long lines."""
+    draw = random.Random(7)
+    lines, n = [], 0
+    while n < 4000:
+        length = draw.choice((60, 120, 240))
+        one = [chr(draw.randrange(97, 123)) for _ in range(length)]
+        other = list(one)
+        for _ in range(draw.randrange(1, length // 40 + 1)):
+            other[draw.randrange(length)] = "#"
+        a, b = grams("".join(one)), grams("".join(other))
+        if 80 * len(a | b) <= 100 * len(a & b) < 85 * len(a | b):
+            lines += [(2 * n, "".join(one)), (2 * n + 1, "".join(other))]
+            n += 1
+    postings = line_dedup.banded(
+        spark.createDataFrame(lines, "node long, line string"), K, line_dedup.BANDS, line_dedup.ROWS, 11
+    )
+    found = postings.selectExpr("key", "node div 2 as pair", "node % 2 as side").distinct()
+    met = found.groupBy("key", "pair").count().where("count = 2").select("pair").distinct().count()
+    assert met >= 0.998 * n, met / n
