@@ -1,7 +1,7 @@
 import random
 
 import brute
-from tidemart.llm import line_dedup
+from tidemart.llm import line_dedup, ngram_join
 
 K = line_dedup.CHARACTERS
 
@@ -119,3 +119,37 @@ def test_recall_near_the_similarity(spark):
     found = postings.selectExpr("key", "node div 2 as pair", "node % 2 as side").distinct()
     met = found.groupBy("key", "pair").count().where("count = 2").select("pair").distinct().count()
     assert met >= 0.998 * n, met / n
+
+
+def test_partitions_that_move_between_scans(spark, documents, tmp_path, monkeypatch):
+    """The files are read as one partition and as sixteen, in turn after each written table."""
+    rows = [(i, f"line {i} of many words {i * 7919}\nsaid by everyone alike\nend {i * i}") for i in range(64)]
+    documents(rows).repartition(16).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    scans = [1, 16]
+    key = "spark.sql.files.minPartitionNum"
+
+    def moving(staged):
+        def run(*args):
+            out = staged(*args)
+            scans.reverse()
+            spark.conf.set(key, scans[0])
+            return out
+
+        return run
+
+    for module in (line_dedup, ngram_join):
+        monkeypatch.setattr(module, "staged", moving(module.staged))
+    spark.conf.set(key, scans[0])
+    try:
+        got = {r.doc_id: r.text.split("\n") for r in line_dedup.deduplicated(docs).collect()}
+        scans.sort()
+        spark.conf.set(key, scans[0])
+        alone = ngram_join.one_per_component(docs).select("doc_id").collect()
+    finally:
+        spark.conf.unset(key)
+    own = {i: text.split("\n") for i, text in rows}
+    assert all([x for x in got[i] if x in own[i]] == got[i] for i in own)
+    assert sum("said by everyone alike" in lines for lines in got.values()) == 1
+    kept = [x for lines in got.values() for x in lines]
+    assert len(set(kept)) == len(kept) and {r.doc_id for r in alone} == set(own)

@@ -209,14 +209,15 @@ def _near(percent: int):
     return condition
 
 
-def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Every row (doc_id, row, n, node), and the component of every node."""
+def _classes(docs: DataFrame, row: Column, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Every row (doc_id, row, n, node), and the component of every node. ``row`` is a row's number, which is
+    taken in one scan only."""
     spark = docs.sparkSession
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",
         F.xxhash64("doc_id", "text").alias("row_key"),
-        F.monotonically_increasing_id().alias("row"),
+        row.alias("row"),
     )
     rows = staged(keyed.mapInArrow(partial(_signatures, words=words), _SIGNATURES), "ngram-rows")
     signed = rows.where("part is null").select("doc_id", "row", "row_key", "n", "node", "check")
@@ -296,7 +297,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     under its text, but names no component (a component of only such rows gets null). Repeated rows
     each get a row. Other columns are ignored. An empty table gives an empty result.
     """
-    signed, named = _classes(docs, words, percent)
+    signed, named = _classes(docs, F.monotonically_increasing_id(), words, percent)
     lowest = staged(named.groupBy("component").agg(F.min("lowest").alias("component_id")), "ngram-lowest")
     ids = staged(named.join(lowest, "component").select("node", "component_id"), "ngram-ids")
     return signed.join(ids, "node", "left").select(
@@ -309,11 +310,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def one_per_component(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the one with the smallest doc_id, the
     first in the table if that repeats, one without an id only if no other has one. Rows without words
-    stay. ``docs`` must give its rows in the same order when read again, as files do."""
-    signed, named = _classes(docs, words, percent)
+    stay. ``docs`` is read once, and written with its row numbers, for another scan may number its rows anew."""
+    numbered = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "ngram-docs")
+    signed, named = _classes(numbered, F.col("_row"), words, percent)
     rows = signed.where("n > 0").join(named.select("node", "component"), "node")
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
     first = rows.groupBy("component").agg(F.min(rank).alias("first")).select(F.col("first.row").alias("_row"))
     stay = staged(first.union(signed.where("n = 0").select(F.col("row").alias("_row"))), "ngram-stay")
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     return numbered.join(stay, "_row", "left_semi").select(*docs.columns)
