@@ -2,8 +2,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tidemart.llm import packing, token_counts
 from tidemart.llm.tokens import Encoder, default_ranks, default_tokenizer
 
@@ -46,6 +48,21 @@ def test_test_table(stored, tokenizer):
     assert sum(r.length for r in got) / (2048 * len(sequences)) > 0.97
 
 
+def test_pipeline_returns_ids(documents, tokenizer):
+    rows = [(None if i % 3 else i, "word " * (i % 37)) for i in range(100)]
+    got = corpus_pipeline.packed_sequences(None, documents(rows).repartition(5), "").collect()
+    check(got, rows, tokenizer)
+
+
+def test_checksums_are_of_packed_ids(documents, monkeypatch):
+    """Ids that are lost after encoding show in the checksums, without ids in the result as well."""
+    staged = packing.staged
+    lose = F.transform("pieces", lambda p: p.withField("ids", F.lit(b"")))
+    monkeypatch.setattr(packing, "staged", lambda df, name: staged(df.withColumn("pieces", lose), name))
+    got = packing.pack(documents([(i, "some words") for i in range(20)]).repartition(5), with_ids=False).collect()
+    assert len(got) == 20 and {r.ids_crc32 for r in got} == {0}
+
+
 def test_many_tasks_are_merged(documents, tokenizer):
     rows = [(i, "word " * (i % 37)) for i in range(600)]
     got = packing.pack(documents(rows).repartition(30), capacity=64, open_windows=4).collect()

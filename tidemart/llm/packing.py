@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import partial
@@ -21,10 +20,10 @@ OPEN_WINDOWS = 64
 # Partitions whose leftover windows one merging task takes.
 MERGED = 16
 
-_PIECE = "struct<doc_id: bigint, start: bigint, length: bigint, ids_crc32: bigint, doc_tokens: bigint, offset: bigint, ids: binary>"
+_PIECE = "struct<doc_id: bigint, start: bigint, length: bigint, doc_tokens: bigint, offset: bigint, ids: binary>"
 _WINDOW = f"window long, used int, open boolean, pieces array<{_PIECE}>"
 _ARROW_PIECE = pa.struct(
-    [(name, pa.int64()) for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "offset")]
+    [(name, pa.int64()) for name in ("doc_id", "start", "length", "doc_tokens", "offset")]
     + [("ids", pa.binary())]
 )
 _ARROW_WINDOW = pa.schema(
@@ -87,7 +86,7 @@ class _Output:
             self.rows = []
 
 
-def _pack(batches, encoder: dict, end_id: int, capacity: int, most_open: int, with_ids: bool):
+def _pack(batches, encoder: dict, end_id: int, capacity: int, most_open: int):
     encoder, packer, out = Encoder(**encoder), Packer(capacity, most_open), _Output(0)
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text"))):
@@ -95,8 +94,8 @@ def _pack(batches, encoder: dict, end_id: int, capacity: int, most_open: int, wi
             for start in range(0, len(ids), capacity):
                 part = ids[start : start + capacity].tobytes()
                 piece = {
-                    "doc_id": doc_id, "start": start, "length": len(part) // 4, "ids_crc32": zlib.crc32(part),
-                    "doc_tokens": len(ids), "offset": 0, "ids": part if with_ids else None,
+                    "doc_id": doc_id, "start": start, "length": len(part) // 4, "doc_tokens": len(ids),
+                    "offset": 0, "ids": part,
                 }
                 out.add(packer.put(len(part) // 4, [piece]), False)
             yield from out.batches(1000)
@@ -125,7 +124,8 @@ def pack(
     with_ids: bool = True,
 ) -> DataFrame:
     """One row per piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
-    sequence_tokens and, if wanted, the ids (little-endian unsigned 32 bit).
+    sequence_tokens and, if wanted, the ids (little-endian unsigned 32 bit). The ids travel with their windows
+    in either case, and ``ids_crc32`` is taken from the packed ones.
 
     A document is its token ids and ``end_id``. It is cut only where it is longer than a window. Each task
     packs its documents with a fixed number of open windows; what it leaves open at its end goes to a
@@ -137,7 +137,7 @@ def pack(
     """
     run = partial(
         _pack, encoder=choice(tokenizer, ranks), end_id=end_id, capacity=capacity,
-        most_open=open_windows, with_ids=with_ids,
+        most_open=open_windows,
     )
     packed = staged(docs.select("doc_id", "text").mapInArrow(run, _WINDOW), "packed")
     done = [packed.where("not open")]
@@ -154,9 +154,11 @@ def pack(
     windows = done[0]
     for more in done[1:]:
         windows = windows.unionByName(more)
-    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "offset"] + ["ids"] * with_ids
+    columns = {c: F.col(f"p.{c}") for c in ("doc_id", "start", "length")}
+    columns |= {"ids_crc32": F.crc32("p.ids"), "doc_tokens": F.col("p.doc_tokens"), "offset": F.col("p.offset")}
+    columns |= {"ids": F.col("p.ids")} if with_ids else {}
     return windows.select("window", "used", F.explode("pieces").alias("p")).select(
-        *[F.col(f"p.{c}").alias(c) for c in columns],
+        *[column.alias(c) for c, column in columns.items()],
         F.col("window").alias("sequence_id"),
         F.col("used").cast("long").alias("sequence_tokens"),
     )
