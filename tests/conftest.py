@@ -59,9 +59,3 @@ def raw_source(frame):
         return frame(schema, rows)
 
     return make
-
-
-def months(n, year=2020):
-    from datetime import date
-
-    return [date(year + i // 12, i % 12 + 1, 1) for i in range(n)]

@@ -4,7 +4,7 @@ from datetime import date
 
 import numpy as np
 import pytest
-from conftest import months
+from mart_helpers import months
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
