@@ -1,6 +1,6 @@
 import random
 
-import brute
+import llm_brute as brute
 from tidemart.llm import line_dedup, ngram_join
 
 K = line_dedup.CHARACTERS

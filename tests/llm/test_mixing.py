@@ -2,7 +2,7 @@ from collections import defaultdict
 
 import pytest
 
-import brute
+import llm_brute as brute
 from tidemart.llm import mixing
 
 

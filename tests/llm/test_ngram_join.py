@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-import brute
+import llm_brute as brute
 from tidemart.llm.ngram_join import near_duplicates, parity_bitmap
 
 

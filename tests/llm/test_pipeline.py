@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
-import brute
+import llm_brute as brute
 import corpus_pipeline
 from oracle_check import connect, mismatch
 from test_line_dedup import expected

@@ -1,6 +1,6 @@
 from collections import Counter
 
-import brute
+import llm_brute as brute
 from tidemart.llm import quality
 
 
