@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, line_dedup, mixing, neighbours, ngram_join, packing, pii, quality, sharding, token_counts,
+    chat, importance, licenses, line_dedup, mixing, neighbours, ngram_join, packing, pii, quality, sharding,
+    token_counts, whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,3 +148,70 @@ ORACLES["op10_quality_rules"] = r"""
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
            failed & 3 <> 0 AS base_failed, failed = 0 AS kept, n_lines, failed
     FROM failing"""
+
+
+@query
+def op11_whitening(spark, folder):
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query
+def op12_license_scan(spark, folder):
+    return licenses.digests(licenses.license_spans(documents(spark, folder)))
+
+
+@query
+def op13_importance_resampling(spark, folder):
+    return importance.resampled(documents(spark, folder), table(spark, folder, "benchmark"))
+
+
+_PLAIN_WORDS = r"""regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+# The checksum of a word from its bytes, with the usual table by the reflected polynomial.
+_ENTRY = """list_reduce(list_prepend(n, range(8)), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"""
+_BYTES = """list_transform(range(1, length(x), 2), lambda i:
+    16 * (instr('0123456789ABCDEF', x[i]) - 1) + instr('0123456789ABCDEF', x[i + 1]) - 1)"""
+ORACLES["op13_importance_resampling"] = f"""
+    WITH crc AS (SELECT list({_ENTRY} ORDER BY n) AS t FROM range(256) AS r(n)),
+    docs AS (
+        SELECT row_number() OVER () AS r, doc_id, {_PLAIN_WORDS} AS words FROM documents
+    ), doc_words AS (
+        SELECT r, word, count(*) AS n FROM (SELECT r, unnest(words) AS word FROM docs) GROUP BY ALL
+    ), target_words AS (
+        SELECT word, count(*) AS n FROM (SELECT unnest({_PLAIN_WORDS}) AS word FROM benchmark) GROUP BY ALL
+    ), places AS (
+        SELECT word,
+               xor(list_reduce(list_prepend(4294967295, {_BYTES}),
+                   lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+        FROM (SELECT word, hex(encode(word)) AS x FROM (SELECT word FROM doc_words UNION SELECT word FROM target_words)),
+             crc
+    ), s AS (
+        SELECT bucket, sum(n) AS s FROM doc_words JOIN places USING (word) GROUP BY bucket
+    ), t AS (
+        SELECT bucket, sum(n) AS t FROM target_words JOIN places USING (word) GROUP BY bucket
+    ), sides AS (
+        SELECT bucket, coalesce(s, 0) AS s, coalesce(t, 0) AS t FROM s FULL JOIN t USING (bucket)
+    ), gains AS (
+        SELECT bucket, CAST(floor(1000 * ln(
+                   (CAST(t AS DOUBLE) + 1) * ((SELECT CAST(sum(s) AS DOUBLE) FROM sides) + 10000)
+                   / ((CAST(s AS DOUBLE) + 1) * ((SELECT CAST(sum(t) AS DOUBLE) FROM sides) + 10000)))) AS BIGINT) AS gain
+        FROM sides
+    ), weights AS (
+        SELECT r, CAST(sum(n * gain) AS BIGINT) AS weight
+        FROM doc_words JOIN places USING (word) JOIN gains USING (bucket) GROUP BY r
+    ), scored AS (
+        SELECT r, doc_id, CAST(coalesce(len(words), 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+               coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((
+                   CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                   / 4294967296::DOUBLE))) AS BIGINT) AS score
+        FROM docs LEFT JOIN weights USING (r)
+    ), ranked AS (
+        SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS place, count(*) OVER () AS n
+        FROM scored WHERE n_features >= 20
+    )
+    SELECT doc_id, n_features, weight, score,
+           CASE WHEN place <= 10 * n // 100 THEN place END AS rank, n_features AS n_words
+    FROM scored LEFT JOIN ranked USING (r)"""

@@ -50,6 +50,30 @@ def text_blocks(
         first = last
 
 
+# Plain words are runs of a-z, 0-9 and bytes of other scripts, A-Z lower-cased; all else is blank.
+_PLAIN = bytes(
+    b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
+)
+
+
+def plain_words(text: bytes, limit: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
+    """The plain words of a UTF-8 text in order, in lists of about ``limit`` bytes of text each."""
+    if len(text) <= limit:
+        yield text.translate(_PLAIN).split()
+        return
+    first = 0
+    while first < len(text):
+        block = text[first : first + limit].translate(_PLAIN)
+        first += limit
+        # The word at the end may go on, and a word longer than the limit takes its blocks together.
+        while first < len(text) and block[-1] != 32:
+            more = text[first : first + 4096].translate(_PLAIN)
+            cut = more.find(b" ") + 1 or len(more)
+            block += more[:cut]
+            first += cut
+        yield block.split()
+
+
 class Words:
     """Where the words of a block of texts start and end, and how many each text has."""
 
