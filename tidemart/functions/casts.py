@@ -54,6 +54,20 @@ def date_or_null(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("date")
 
 
+def typed(df: DataFrame, name: str, kind: T.DataType) -> Column:
+    """A column brought to another type by the conversion of its kind; what cannot be read is null, but a whole
+    number that a key is spelled with must be one."""
+    if isinstance(kind, (T.LongType, T.IntegerType)):
+        return whole_key(df, name).cast(kind)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return number_or_null(df, name).cast(kind)
+    if isinstance(kind, T.DateType):
+        return date_or_null(df, name)
+    if isinstance(kind, T.StringType):
+        return F.col(name).cast(kind)
+    return F.col(name).try_cast(kind)
+
+
 def month_of(day: Column) -> Column:
     return F.trunc(day, "month")
 

@@ -13,9 +13,16 @@ from ..operators.universe import Allowlist
 from ..session import shared_folder, staged
 from ..settings import RunSettings
 from ..sinks.tables import export_marts, replace_unless_empty
-from ..sources.snapshot import exists, posting_file_schema, read_or_empty, require_columns
+from ..sources.snapshot import (
+    exists,
+    posting_file_schema,
+    read_monthly_or_empty,
+    read_or_empty,
+    require_columns,
+)
 from .contracts import require_contract
 from .demand import job_demand
+from .extraction import read_snapshot
 from .salary import salary_distribution
 from .skills import role_skill_associations, skill_demand
 from .staging import posting_cube, universe_postings
@@ -45,14 +52,19 @@ class Sources:
 
 
 def read_sources(spark: SparkSession, root: str) -> Sources:
-    """A snapshot folder; any part may be absent and is then empty. Of a part that is there, the columns
-    the marts need must be, too; skills are optional."""
-    postings = read_or_empty(spark, f"{root}/postings", posting_file_schema())
-    return Sources(
-        postings=require_columns(postings, POSTING_COLUMNS, "postings"),
-        company=read_or_empty(spark, f"{root}/company_mapping", schemas.COMPANY),
-        regions=read_or_empty(spark, f"{root}/regions", schemas.REGIONS),
-    )
+    """The complete extraction runs under ``root``, or else a plain snapshot folder there.
+
+    Any part may be absent and is then empty. Of a part that is there, the columns the marts need must be,
+    too; skills are optional.
+    """
+    runs = read_snapshot(spark, root)
+    if runs:
+        postings, company, regions = runs.postings, runs.company, runs.regions
+    else:
+        postings = read_monthly_or_empty(spark, f"{root}/postings", posting_file_schema())
+        company = read_or_empty(spark, f"{root}/company_mapping", schemas.COMPANY)
+        regions = read_or_empty(spark, f"{root}/regions", schemas.REGIONS)
+    return Sources(require_columns(postings, POSTING_COLUMNS, "postings"), company, regions)
 
 
 def build_marts(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.casts import date_or_null, numeric_key_or_null
 from ..operators.cut import first_rows
+from ..operators.dedupe import first_per_key
 
 ONE_MONTH = "interval 1 month"
 
@@ -30,6 +31,11 @@ def role_in_list(role: str, roles: Sequence[str]) -> Column:
     return F.col(role).isin(list(roles))
 
 
+def posting_columns(postings: DataFrame) -> list[str]:
+    """The columns of a snapshot: all of a posting, and those of skills that the source has."""
+    return [*schemas.POSTINGS.names, *[c for c in schemas.SKILL_COLUMNS.names if c in postings.columns]]
+
+
 def extract_postings(
     postings: DataFrame,
     start: date,
@@ -42,9 +48,7 @@ def extract_postings(
 
     Date and role predicates reach the Parquet scan, and only ``columns`` are read.
     """
-    if columns is None:
-        optional = [c for c in schemas.SKILL_COLUMNS.names if c in postings.columns]
-        columns = [*schemas.POSTINGS.names, *optional]
+    columns = posting_columns(postings) if columns is None else columns
     out = postings.where(in_half_open_window("post_date", start, end))
     if roles:
         out = out.where(role_in_list("role_k17000_v3", roles))
@@ -86,6 +90,23 @@ def select_periods(
     return periods.orderBy(order).limit(n)
 
 
+def postings_in_periods(monthly: DataFrame, periods: DataFrame) -> DataFrame:
+    """Postings of a snapshot by ``year``, ``month`` that fall into ``periods``, with the period's ``label``.
+
+    Periods may be computed from data: the few of them are broadcast, and their months choose at run time which
+    folders are read.
+    """
+    # The comparison holds for every period; it tells Catalyst that the periods select.
+    wanted = periods.where("span_start <= span_end").select(
+        F.year("span_start").alias("year"), F.month("span_start").alias("month"), "label", "span_start", "span_end"
+    )
+    inside = (F.col("post_date") >= F.col("span_start")) & (
+        F.col("post_date") < F.date_add("span_end", 1)
+    )
+    joined = monthly.join(F.broadcast(wanted), ["year", "month"]).where(inside)
+    return joined.select("label", *monthly.columns)
+
+
 def cap_rows_by_month(df: DataFrame, n: int) -> DataFrame:
     """The ``n`` earliest postings, by date, then job id, then every other column."""
     levels = {
@@ -98,11 +119,16 @@ def cap_rows_by_month(df: DataFrame, n: int) -> DataFrame:
 
 
 def dimension_for_facts(dim: DataFrame, facts: DataFrame, key: str) -> DataFrame:
-    """Rows of ``dim`` whose key occurs in ``facts``; keys that are no number are left out."""
+    """One row of ``dim`` per key that occurs in ``facts``; keys that are no number are left out.
+
+    Of several rows for a key the first by all columns stays, so that a join cannot double facts.
+    """
     if key not in facts.columns:
         return dim.limit(0)
     wanted = facts.select(numeric_key_or_null(facts, key).alias("_key")).distinct()
-    return dim.join(wanted, numeric_key_or_null(dim, key) == F.col("_key"), "left_semi")
+    keyed = dim.withColumn("_of", numeric_key_or_null(dim, key))
+    found = keyed.join(wanted, F.col("_of") == F.col("_key"), "left_semi")
+    return first_per_key(found, ["_of"]).drop("_of")
 
 
 def union_frames(frames: Iterable[DataFrame]) -> DataFrame:

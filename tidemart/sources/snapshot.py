@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.casts import typed
 from .extract import in_half_open_window
 
 PARTITIONS = T.StructType(
@@ -18,8 +22,11 @@ PARTITIONS = T.StructType(
 )
 
 
-# A path that does not exist, and a folder without a data file.
+MONTH_FOLDER = re.compile(r"/year=(?P<year>\d+)/month=(?P<month>\d+)(?=/[^/]+$)")
+# Folders whose schema is read at the same time.
+FOOTERS_AT_ONCE = 8
 LAST_DAY = date(9999, 12, 30)
+# A path that does not exist, and a folder without a data file.
 ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -28,6 +35,24 @@ def posting_file_schema(with_skills: bool = True) -> T.StructType:
     return T.StructType([*schemas.POSTINGS, *skills, *PARTITIONS])
 
 
+def months_stored(spark: SparkSession, path: str) -> dict[tuple[int, int], str]:
+    """The month folders of a snapshot, (year, month) by folder; none if there is no snapshot.
+
+    Only names are listed: no file is opened.
+    """
+    try:
+        files = spark.read.schema(PARTITIONS).parquet(path).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() not in ABSENT:
+            raise
+        return {}
+    found = {}
+    for file in files:
+        if folder := MONTH_FOLDER.search(file):
+            found[int(folder["year"]), int(folder["month"])] = f"{path}/{folder[0].strip('/')}"
+    return found
+
+
 def read_monthly(
     spark: SparkSession,
     path: str,
@@ -37,10 +62,18 @@ def read_monthly(
 ) -> DataFrame:
     """A snapshot laid out as ``year=/month=``, with the stored types unless ``schema`` is given.
 
-    A date range prunes folders: a predicate on ``post_date`` alone would open every month.
+    Folders outside the date range are not looked at: a predicate on ``post_date`` alone would open every
+    month. Months may differ in their columns and types, see :func:`read_months`.
     """
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
-    df = reader.parquet(path)
+    if schema:
+        df = spark.read.schema(schema).parquet(path)
+    else:
+        first = (start.year, start.month) if start else (0, 0)
+        last = (end.year, end.month) if end else (9999, 12)
+        folders = [f for month, f in months_stored(spark, path).items() if first <= month <= last]
+        if not folders:
+            return _empty(spark, posting_file_schema())
+        df = read_months(spark, [(path, folder) for folder in folders])
     index = F.col("year") * 12 + F.col("month")
     if start:
         df = df.where(index >= start.year * 12 + start.month)
@@ -51,6 +84,50 @@ def read_monthly(
     return df
 
 
+def read_months(
+    spark: SparkSession, folders: Iterable[tuple[str, str]], canonical: T.StructType | None = None
+) -> DataFrame:
+    """Month folders, each with the snapshot it lies in, as one frame, although their files may differ in schema.
+
+    The schema of a folder is that of its files, as one extraction wrote them: one footer each is read.
+    Folders of one schema are read together. A column that has the same type wherever it occurs keeps it; one
+    whose type changes comes in its type of ``canonical`` (the posting columns unless given), and one that is
+    not named there as text. A column that some folders lack is null in them.
+    """
+    canonical = posting_file_schema() if canonical is None else canonical
+    folders = sorted(folders)
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        found = list(pool.map(lambda place: spark.read.parquet(place[1]).schema, folders))
+    groups: dict[tuple[str, str], tuple[T.StructType, list[str]]] = {}
+    for (base, folder), schema in zip(folders, found):
+        plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema if f.name not in PARTITIONS.names])
+        groups.setdefault((base, plain.json()), (plain, []))[1].append(folder)
+    kinds: dict[str, set[str]] = {}
+    for schema, _ in groups.values():
+        for field in schema:
+            kinds.setdefault(field.name, set()).add(field.dataType.json())
+    drifting = {name for name, types in kinds.items() if len(types) > 1}
+    frames = []
+    for (base, _), (schema, members) in groups.items():
+        df = spark.read.schema(T.StructType([*schema, *PARTITIONS])).option("basePath", base).parquet(*members)
+        known = {f.name: f.dataType for f in canonical}
+        same = {n: typed(df, n, known.get(n, T.StringType())) for n in drifting if n in df.columns}
+        frames.append(df.withColumns(same) if same else df)
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), frames)
+
+
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
+def read_monthly_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A snapshot by month that may be absent, and is then an empty frame of ``schema``."""
+    folders = months_stored(spark, path)
+    if not folders:
+        return _empty(spark, schema)
+    return read_months(spark, [(path, folder) for folder in folders.values()], schema)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet source that may be absent: as stored, or else an empty frame of ``schema``.
 
@@ -61,7 +138,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     except AnalysisException as error:
         if error.getCondition() not in ABSENT:
             raise
-        return spark.createDataFrame([], schema)
+        return _empty(spark, schema)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -354,8 +354,21 @@ oracle(
       AND role_k17000_v3 IN ('Economy', 'Promo')""",
 )
 oracle("month_periods", "SELECT * FROM counted_periods")
-oracle("first_months", "SELECT * FROM counted_periods ORDER BY label LIMIT 6")
-oracle("last_months", "SELECT * FROM counted_periods ORDER BY label DESC LIMIT 6")
+for _name, _way in (("first_months", "ASC"), ("last_months", "DESC")):
+    oracle(
+        _name,
+        f"""SELECT label, job_id, post_date, role_k17000_v3 FROM postings
+        JOIN (SELECT label FROM counted_periods ORDER BY label {_way} LIMIT 6)
+          ON strftime(post_date, '%Y-%m') = label""",
+    )
+oracle(
+    "extraction_run",
+    """SELECT rcid, company, CAST(year(post_date) AS INTEGER) AS year, CAST(month(post_date) AS INTEGER) AS month,
+           count(*) AS posting_count
+    FROM postings LEFT JOIN company_mapping USING (rcid)
+    WHERE post_date BETWEEN DATE '1997-09-01' AND DATE '2000-02-29' AND role_k17000_v3 IN ('Economy', 'Promo')
+    GROUP BY ALL""",
+)
 oracle(
     "cap_rows_by_month",
     """SELECT job_id, rcid, post_date, role_k17000_v3, salary FROM postings
@@ -390,6 +403,14 @@ oracle(
            count(role_k17000_v3) AS role_count
     FROM postings WHERE post_date IS NOT NULL GROUP BY ALL""",
 )
+oracle(
+    "drifting_months",
+    """SELECT CAST(year(post_date) AS INTEGER) AS year, CAST(month(post_date) AS INTEGER) AS month,
+           count(*) AS posting_count, CAST(sum(job_id) AS BIGINT) AS job_id_sum,
+           count(rcid) FILTER (post_date <= DATE '1998-06-30') AS rcid_count,
+           count(TRY_CAST(salary AS DOUBLE)) AS salary_count
+    FROM postings WHERE post_date IS NOT NULL GROUP BY ALL""",
+)
 oracle(
     "union_months",
     """SELECT job_id, post_date, role_k17000_v3, metro_area FROM postings

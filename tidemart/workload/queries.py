@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
@@ -22,7 +23,17 @@ from ..operators.topk import (
     strongest_per_month,
 )
 from ..operators.universe import allowlist_sizes, dimension, in_universe
-from ..plans import contracts, demand, metadata, reports, salary, skills, staging, trajectory
+from ..plans import (
+    contracts,
+    demand,
+    extraction,
+    metadata,
+    reports,
+    salary,
+    skills,
+    staging,
+    trajectory,
+)
 from ..plans.build import Sources, build_marts
 from ..schemas import DISCLOSURE_COUNT, MARTS
 from ..session import shared_folder
@@ -136,16 +147,43 @@ def month_periods(spark, folder):
     return _with_posting_counts(spark, folder, _periods_in_data(spark, folder))
 
 
+def _stored_by_month(spark, folder, *columns: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/postings-{new_run_id()}"
+    write_monthly(standin.postings(spark, folder).select(*columns), path)
+    return snapshot.read_monthly(spark, path)
+
+
+def _postings_of_months(spark, folder, **choice) -> DataFrame:
+    """Postings of the first or last months of the data, read from a snapshot by month."""
+    monthly = _stored_by_month(spark, folder, "job_id", "post_date", "role_k17000_v3")
+    periods = extract.select_periods(_periods_in_data(spark, folder), **choice)
+    return extract.postings_in_periods(monthly, periods).drop("year", "month")
+
+
 @query
 def first_months(spark, folder):
-    periods = extract.select_periods(_periods_in_data(spark, folder), first=6)
-    return _with_posting_counts(spark, folder, periods)
+    return _postings_of_months(spark, folder, first=6)
 
 
 @query
 def last_months(spark, folder):
-    periods = extract.select_periods(_periods_in_data(spark, folder), last=6)
-    return _with_posting_counts(spark, folder, periods)
+    return _postings_of_months(spark, folder, last=6)
+
+
+@query
+def extraction_run(spark, folder):
+    """An extraction of the last 30 months for two roles into a folder of its own, read back as a snapshot."""
+    source = standin.postings(spark, folder)
+    root = f"{shared_folder(spark)}/snapshot-{new_run_id()}"
+    settings = replace(SETTINGS, source_root=root, extract_start=WINDOW[0], extract_end=WINDOW[1])
+    options = extraction.ExtractOptions(last_months=30, columns=tuple(source.columns))
+    extraction.run_extract(
+        source, standin.company_mapping(spark, folder), standin.regions(spark, folder), settings,
+        ["Economy", "Promo"], options,
+    )
+    stored = extraction.read_snapshot(spark, root)
+    found = stored.postings.groupBy("year", "month", "rcid").agg(F.count(F.lit(1)).alias("posting_count"))
+    return found.join(stored.company.select("rcid", "company"), "rcid", "left")
 
 
 @query
@@ -192,11 +230,8 @@ def partition_columns(spark, folder):
 @query
 def monthly_roundtrip(spark, folder):
     """Write the snapshot by month, read it back, count what each folder holds."""
-    source = standin.postings(spark, folder).select("job_id", "post_date", "role_k17000_v3")
-    path = f"{shared_folder(spark)}/postings-{new_run_id()}"
-    write_monthly(source, path)
     return (
-        snapshot.read_monthly(spark, path)
+        _stored_by_month(spark, folder, "job_id", "post_date", "role_k17000_v3")
         .groupBy("year", "month")
         .agg(
             F.count(F.lit(1)).alias("posting_count"),
@@ -206,6 +241,27 @@ def monthly_roundtrip(spark, folder):
     )
 
 
+@query
+def drifting_months(spark, folder):
+    """A snapshot whose later months spell job ids as text and salaries as numbers, and have no companies."""
+    source = standin.postings(spark, folder).select("job_id", "rcid", "post_date", "salary")
+    path = f"{shared_folder(spark)}/postings-{new_run_id()}"
+    earlier, later = F.col("post_date") <= F.lit(FIRST_HALF[1]), F.col("post_date") > F.lit(FIRST_HALF[1])
+    # Halves of a month would share its folder, so the cut lies between two months.
+    write_monthly(source.where(earlier), path)
+    other = source.where(later).withColumns(
+        {"job_id": F.col("job_id").cast("string"), "salary": number_or_null(source, "salary")}
+    )
+    write_monthly(other.drop("rcid"), path)
+    df = snapshot.read_monthly(spark, path)
+    return df.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("posting_count"),
+        F.sum("job_id").alias("job_id_sum"),
+        F.count("rcid").alias("rcid_count"),
+        F.count(number_or_null(df, "salary")).alias("salary_count"),
+    )
+
+
 @query
 def union_months(spark, folder):
     source = standin.postings(spark, folder)
