@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(app: str = "tidemart", cores: int | str = "*", **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
@@ -44,13 +48,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Executions in here remove their shuffle files when they end, instead of when the driver's memory
+    happens to be collected: many steps in a row would fill the executors' disks."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, True)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def staged(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and go on from the written table.
 
     Several consumers then share one computation, and a lost executor costs a re-read of files
-    rather than a recomputation from the raw snapshot.
+    rather than a recomputation from the raw snapshot. Nothing reads the shuffles of the step again, so they go.
     """
     spark = df.sparkSession
     path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("error").parquet(path)
+    with shuffles_removed(spark):
+        df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
