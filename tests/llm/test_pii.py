@@ -66,3 +66,17 @@ def test_edge_cases(documents):
     assert {(1, 0), (2, 0), (None, 1), (3, 1)} <= got
     assert pii.personal_data(documents([])).count() == 0
     random.seed(0)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["0" * 5000, "1.2.3.4", ".", "0", "255", "9" * 4500, " ", "+", "-", "a@"]), max_size=10))
+def test_long_runs_of_digits(parts):
+    text = "".join(parts)
+    want = [(m.start(), 1, m.end()) for m in IP.finditer(text)
+            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split("."))]
+    assert [s for s in pii.find_spans(text) if s[1] == 1] == want
+
+
+def test_cues_in_any_case():
+    for text in ("aCcOuNt no: 12345678", "İ HtTp://x.y", "IbAn: GB82 WEST 1234 5698 7654 32"):
+        assert [s for s in pii.find_spans(text) if s[1] >= 4], text

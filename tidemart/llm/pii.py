@@ -19,10 +19,10 @@ ACCOUNT_CUES = ("account", "acct", "konto", "compte", "cuenta", "passport", "ssn
 IBAN_CUES = ("iban",)
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_LOWER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
-_CARD_RUN = re.compile(r"[0-9\x20-]*")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL_REST = re.compile(r"[^\s<>\"'`]+")
 _ACCOUNT = re.compile(r"(?i:\s*(?:no|nr|number|id)\b\.?)?[\s:#=]{1,3}([A-Z]{0,2}[0-9](?:[ -]?[0-9]){4,16})(?![0-9A-Za-z])")
@@ -34,9 +34,7 @@ def _automaton() -> ahocorasick.Automaton:
     cues = [("@", "@"), ("+", "+"), *((d, "digit") for d in DIGITS), *((s, "url") for s in SCHEMES)]
     cues += [(c, "account") for c in ACCOUNT_CUES] + [(c, "iban") for c in IBAN_CUES]
     for cue, kind in cues:
-        # The cue's spelling in a text may be upper-case or capitalised.
-        for form in {cue, cue.upper(), cue.capitalize()}:
-            found.add_word(form, (kind, len(form)))
+        found.add_word(cue, (kind, len(cue)))
     found.make_automaton()
     return found
 
@@ -59,7 +57,8 @@ def _digits(text: str) -> str:
 
 
 def valid_ip(found: str) -> bool:
-    return all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in found.split("."))
+    parts = [part.lstrip("0") for part in found.split(".")]
+    return all(len(part) <= 3 and int(part or "0") <= 255 for part in parts)
 
 
 def valid_card(found: str) -> bool:
@@ -83,8 +82,12 @@ def find_spans(text: str) -> list[tuple[int, int, int]]:
     their length. A match ends at or before the next cue of its kind that is looked at.
     """
     spans = []
+    # Cues may be spelled in any case; a lower-cased text of the same length has the same places.
+    lower = text.lower()
+    if len(lower) != len(text):
+        lower = text.translate(_LOWER)
     past_email = past_chain = past_card = past_phone = past_url = 0
-    for last, (kind, length) in AUTOMATON.iter(text):
+    for last, (kind, length) in AUTOMATON.iter(lower):
         if kind == "digit":
             if last >= past_chain:
                 # A chain of n dotted numbers holds n // 4 addresses, one after the other.
@@ -144,7 +147,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
     Base kinds are matched leftmost and without overlap within a kind; matches that fail validation are
     dropped without another try. URLs, accounts after a cue word and valid IBANs after a cue are added and
-    may overlap the others. Whole texts are searched; a null text has no spans. Rows are independent.
+    may overlap the others. Whole texts are searched, however long; a null or empty text has no spans. Rows are
+    independent, repeated ones have the same spans each; an empty table gives an empty result.
     """
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _found, "doc_id long, found array<struct<kind: string, start: bigint, end: bigint>>"
