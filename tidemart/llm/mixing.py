@@ -79,8 +79,8 @@ def thresholds(sized: DataFrame, goals: DataFrame) -> DataFrame:
     ``sized`` is a written table of source, _size, _hash; ``goals`` comes from :func:`targets`. What is
     left of a target after whole passes over the source is a budget. A histogram of the words by hash
     bucket shows the bucket in which the budget ends, and only that bucket is looked at again, with the
-    next bits of the hash. In the end ``_bound`` is the hash at the boundary, ``_unit`` the words of its
-    rows (more than one only for equal rows) and ``_rest`` what of the budget is left for them.
+    next bits of the hash. In the end ``_bound`` is the hash at the boundary and ``_rest`` what of the budget is
+    left for its rows (more than one only for equal rows).
     """
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     found = staged(
@@ -108,12 +108,11 @@ def thresholds(sized: DataFrame, goals: DataFrame) -> DataFrame:
             & (F.col("_rest") < F.col("_upto"))
         )
         found = staged(
-            found.drop("_unit")
-            .join(sums, at, "left")
+            found.join(sums, at, "left")
             .select(
                 "source", "source_size", "target", "_passes",
                 (F.col("_rest") - F.coalesce(F.col("_upto") - F.col("_sum"), F.lit(0))).alias("_rest"),
-                F.col("_bucket").alias("_prefix"), F.col("_sum").alias("_unit"),
+                F.col("_bucket").alias("_prefix"),
             ),
             "mixing-boundary",
         )
@@ -123,23 +122,32 @@ def thresholds(sized: DataFrame, goals: DataFrame) -> DataFrame:
 def taken_of(sized: DataFrame, bounds: DataFrame, whole: bool = False) -> DataFrame:
     """``sized`` with source_size, target and ``taken``, the words the mix takes of each row.
 
-    Rows before the boundary are taken once more than the whole passes; rows at the boundary share
-    what is left in proportion to their sizes, or with ``whole`` are taken if half of them fits.
+    Rows before the boundary are taken once more than the whole passes. Rows at the boundary, which is one row
+    unless rows are equal, come one after the other: what is left is taken word by word, or with ``whole`` row by
+    row, a row if half of it fits.
     """
     bounds = bounds.withColumnRenamed("source", "_source")
     joined = sized.join(bounds, F.col("source").eqNullSafe(F.col("_source")), "left")
+    at = F.coalesce(F.col("_hash") == F.col("_bound"), F.lit(False))
     flip = F.lit(-(2**63))
     before = F.col("_hash").bitwiseXOR(flip) < F.col("_bound").bitwiseXOR(flip)
-    part = F.floor(F.col("_size") * (F.col("_rest") / F.col("_unit")))
+
+    tied = staged(joined.where(at).withColumn("_tie", F.monotonically_increasing_id()), "mixing-ties")
+    placed = staged(numbered(tied, "source", "_tie", weight="_size", name="_ahead"), "mixing-ties")
+    first = placed.groupBy(F.col("source").alias("_tied")).agg(F.min("_ahead").alias("_first"))
+    placed = placed.join(first, F.col("source").eqNullSafe(F.col("_tied")))
+    left = F.col("_rest") - (F.col("_ahead") - F.col("_first"))
+    extra = F.greatest(F.lit(0).cast("long"), F.least(F.floor(left), F.col("_size")))
     if whole:
-        part = F.when(2 * F.col("_rest") >= F.col("_unit"), F.col("_size")).otherwise(0)
-    extra = (
-        F.when(before, F.col("_size"))
-        .when(F.col("_hash") == F.col("_bound"), F.least(part.cast("long"), F.col("_size")))
-        .otherwise(0)
+        extra = F.when(2 * left >= F.col("_size"), F.col("_size")).otherwise(0)
+
+    def with_taken(rows: DataFrame, extra: Column) -> DataFrame:
+        taken = F.coalesce(F.col("_passes") * F.col("_size") + extra, F.lit(0)).cast("long")
+        return rows.select(*sized.columns, "source_size", "target", taken.alias("taken"))
+
+    return with_taken(joined.where(~at), F.when(before, F.col("_size")).otherwise(0)).unionByName(
+        with_taken(placed, extra)
     )
-    taken = F.coalesce(F.col("_passes") * F.col("_size") + extra, F.lit(0)).cast("long")
-    return joined.withColumn("taken", taken).drop("_source", "_passes", "_rest", "_bound", "_unit")
 
 
 def plan_mix(
@@ -156,28 +164,31 @@ def plan_mix(
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` for every row of ``docs``.
+    """``doc_id, size, source_size, target, taken, source`` for every row of ``docs``.
 
     The same rows give the same mix at any partitioning: what is taken depends on a hash of id and
-    text. A source's taken words differ from its target by less than one word a row at the boundary.
-    A null text has no words; a null source is a source; rows that are equal in id and text are taken
-    alike; a source without words has target 0. An empty table gives an empty result, other columns
-    are ignored. A document may be taken in part (``taken`` below its size) or repeated (above it).
+    text. A source's taken words differ from its target by less than one word. A null or empty text has no
+    words, a text of any length is counted whole; a null source is a source; of rows that are equal in id and text
+    and lie at the boundary, some are taken once more than the others; a source without words has target 0. An
+    empty table gives an empty result, other columns are ignored. A document may be taken in part (``taken``
+    below its size) or repeated (above it).
     """
     sized, bounds = plan_mix(docs, **options)
     return taken_of(sized, bounds).select(
-        "doc_id", "source", F.col("_size").alias("size"), "source_size", "target", "taken"
+        "doc_id", F.col("_size").alias("size"), "source_size", "target", "taken", "source"
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as the mix takes it, in whole documents.
 
-    Documents without words cost nothing and stay as they are.
+    A source's words differ from its target by half of one document at most. Documents without words, null texts
+    among them, cost nothing and stay as they are. Of equal rows at the boundary as many are taken as fit; a null
+    source is a source; an empty table stays empty; all columns are kept, whatever their names.
     """
     seed = options.get("seed", 0)
     bounds = plan_mix(docs, **options)[1]
-    wrapped = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source", "text")
+    wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "source", "text")
     rows = taken_of(measured(wrapped, seed), bounds, whole=True)
     times = F.when(F.col("_size") == 0, 1).otherwise((F.col("taken") / F.col("_size")).cast("int"))
     copies = F.explode(F.array_repeat(F.lit(1), times))
