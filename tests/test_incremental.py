@@ -1,0 +1,160 @@
+"""Builds after a change of some months equal full builds, and read no more than they must."""
+
+import random
+from dataclasses import replace
+from datetime import date, datetime
+
+import pytest
+from mart_helpers import months
+
+from tidemart import schemas
+from tidemart.operators.universe import Allowlist
+from tidemart.plans import incremental
+from tidemart.plans.build import Sources
+from tidemart.settings import RunSettings
+from tidemart.sinks.tables import write_monthly
+from tidemart.sources.snapshot import read_monthly
+
+SETTINGS = RunSettings(run_id="first", run_timestamp=datetime(2026, 1, 1), min_observations=5)
+ROLES = Allowlist("role", tuple((f"R{i}", f"r{i}") for i in range(5)))
+NONE = Allowlist("skill")
+SPAN = months(40, 2021)
+
+
+def posting(i, month, geo, role, skill, salary):
+    return {
+        "job_id": i, "post_date": month.replace(day=1 + i % 27), "metro_area": geo, "role_k17000_v3": role,
+        "role_k1500_v2": role, "skill_id": skill, "skill_name": skill, "salary": salary, "rcid": 1,
+    }
+
+
+def history(span=SPAN, seed=1, roles="012"):
+    draw = random.Random(seed)
+    rows = []
+    for month in span:
+        for _ in range(draw.randrange(6, 14)):
+            role, skill = f"R{draw.choice(roles)}", draw.choice(["S1", "S2", "S3", None])
+            rows.append(posting(len(rows), month, draw.choice("XYZ"), role, skill, str(draw.randrange(1, 9) * 1000)))
+    return rows
+
+
+def changed_month(rows, month, new):
+    return [r for r in rows if r["post_date"].replace(day=1) != month] + new
+
+
+def of_month(month, n, geo="X", role="R1", skill="S1"):
+    return [posting(10_000 + i, month, geo, role, skill, "5000") for i in range(n)]
+
+
+@pytest.fixture
+def company(frame):
+    return frame(schemas.COMPANY, [{"rcid": 1, "rics_k200": "I", "rics_k50": "i"}])
+
+
+@pytest.fixture
+def build(spark, raw_source, company, tmp_path):
+    def run(rows, name, root, changed=None, grain="role"):
+        settings = replace(SETTINGS, run_id=name, run_timestamp=datetime(2026, 1, 1 + len(name)))
+        return incremental.rebuild(
+            spark, Sources(raw_source(rows), company), ROLES, NONE, settings, str(tmp_path / root), changed, grain
+        )
+
+    return run
+
+
+def content(spark, built):
+    out = {}
+    for name, df in built.marts(spark).items():
+        kept = [c for c in df.columns if c != "run_timestamp"]
+        out[name] = sorted((tuple(r) for r in df.select(*kept).collect()), key=repr)
+    return out
+
+
+CHANGES = {
+    "middle": (SPAN[20], of_month(SPAN[20], 9)),
+    "same entities, other counts": (SPAN[39], of_month(SPAN[39], 4) + of_month(SPAN[39], 2, "Y", "R0", "S2")),
+    "appended": (date(2024, 5, 1), of_month(date(2024, 5, 1), 7)),
+    "gap, then appended": (date(2024, 8, 1), of_month(date(2024, 8, 1), 7)),
+    "new place": (SPAN[30], of_month(SPAN[30], 3, geo="NEW")),
+    "new role": (SPAN[25], of_month(SPAN[25], 3, role="R4")),
+    "new skill": (SPAN[3], of_month(SPAN[3], 3, skill="S9")),
+    "inserted before": (date(2020, 6, 1), of_month(date(2020, 6, 1), 3)),
+    "emptied": (SPAN[10], []),
+    "first": (SPAN[0], of_month(SPAN[0], 5)),
+}
+
+
+@pytest.mark.parametrize("case", list(CHANGES))
+def test_a_changed_month_gives_the_full_build(spark, build, case):
+    month, new = CHANGES[case]
+    rows = history()
+    build(rows, "first", "inc")
+    after = changed_month(rows, month, new)
+    # What is not in the changed month must not be read: it is left out here.
+    given = [r for r in after if r["post_date"].replace(day=1) == month]
+    got = content(spark, build(given, "second", "inc", [month]))
+    want = content(spark, build(after, "second", "full"))
+    for name in schemas.MARTS:
+        assert got[name] == want[name], name
+
+
+def test_an_entity_that_vanishes(spark, build):
+    rows = [*history(), *of_month(SPAN[5], 4, geo="ONCE")]
+    build(rows, "first", "inc")
+    after = [r for r in rows if r["metro_area"] != "ONCE"]
+    got = content(spark, build(after, "second", "inc", [SPAN[5]]))
+    assert got == content(spark, build(after, "second", "full"))
+
+
+def test_several_changes_in_a_row(spark, build):
+    rows = history()
+    build(rows, "a", "inc")
+    for name, changes in (("bb", [SPAN[12], SPAN[30]]), ("ccc", [SPAN[31]]), ("dddd", [date(2024, 5, 1), SPAN[0]])):
+        for month in changes:
+            rows = changed_month(rows, month, of_month(month, len(name) + 2, geo=f"G{len(name)}"))
+        built = build(rows, name, "inc", changes)
+    assert content(spark, built) == content(spark, build(rows, "dddd", "full"))
+    assert {b for m, builds in built.tables["job_demand"].items() for b in builds} > {"a", "bb"}
+
+
+def test_the_row_grain(spark, build):
+    rows = history()
+    build(rows, "first", "inc", grain="row")
+    after = changed_month(rows, SPAN[20], of_month(SPAN[20], 9))
+    got = content(spark, build(after, "second", "inc", [SPAN[20]], "row"))
+    assert got == content(spark, build(after, "second", "full", grain="row"))
+
+
+def test_only_the_window_is_written_and_read(spark, company, raw_source, tmp_path):
+    rows, root = history(), str(tmp_path / "b")
+    write_monthly(raw_source(rows), str(tmp_path / "s"))
+
+    def run(name, postings, changed=None):
+        settings = replace(SETTINGS, run_id=name, run_timestamp=datetime(2026, 1, 1 + len(name)))
+        return incremental.rebuild(spark, Sources(postings, company), ROLES, NONE, settings, root, changed)
+
+    run("first", read_monthly(spark, str(tmp_path / "s")))
+    # Other months of the source cannot be read any more.
+    for file in tmp_path.glob("s/year=*/month=*/*.parquet"):
+        if f"year={SPAN[36].year}/month={SPAN[36].month}/" not in str(file):
+            file.write_bytes(b"no parquet file")
+    schema = raw_source([]).schema.add("year", "integer").add("month", "integer")
+    built = run("second", read_monthly(spark, str(tmp_path / "s"), schema=schema), [SPAN[36]])
+    assert {m for m, b in built.tables["job_demand"].items() if b == ["second"]} == set(SPAN[36:])
+    assert {m for m, b in built.tables["salary_distribution"].items() if b == ["second"]} == {SPAN[36]}
+    assert built.tables["job_demand"][SPAN[0]] == ["first"]
+    assert {m for m, b in built.tables["trajectory_labels"].items() if "second" in b} == set(SPAN[36:])
+
+
+def test_a_build_without_manifest_is_invisible(spark, build, monkeypatch, tmp_path):
+    rows = history(SPAN[:14])
+    build(rows, "first", "inc")
+
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(incremental, "_associations", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        build(rows, "second", "inc", [SPAN[3]])
+    assert incremental.latest_build(spark, str(tmp_path / "inc")).run_id == "first"
+    assert incremental.latest_build(spark, str(tmp_path / "none")) is None

@@ -93,10 +93,15 @@ def role_skill_associations(base: DataFrame, consistent: bool = False) -> DataFr
     one. ``consistent`` takes the totals over the same 12-row counts instead.
     """
     pairs = _trailing_pairs(cooccurrence_monthly(base))
-    counted = "co_occurrence_12m" if consistent else "co_occurrence_count"
+    return associations_of(pairs, pairs, "co_occurrence_12m" if consistent else "co_occurrence_count")
+
+
+def associations_of(pairs: DataFrame, every: DataFrame, counted: str) -> DataFrame:
+    """Associations of ``pairs`` (with their trailing counts), the totals of their months taken over ``every``
+    pair of these months."""
 
     def total(name: str, *keys: str) -> DataFrame:
-        return pairs.groupBy("month", *keys).agg(F.sum(counted).alias(name))
+        return every.groupBy("month", *keys).agg(F.sum(counted).alias(name))
 
     probability = ratio(F.col("co_occurrence_12m"), F.col("role_total"))
     overall = ratio(F.col("skill_total"), F.col("all_total"))

@@ -96,6 +96,11 @@ def trajectory_features(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     measured = with_concentration(volatility(demand, grain, block_rows), demand)
+    return scored_features(measured, settings)
+
+
+def scored_features(measured: DataFrame, settings: RunSettings) -> DataFrame:
+    """Entities with enough history, their score and the context of the run."""
     scored = min_history(measured, settings.min_observations).withColumns(
         {
             "momentum_score": momentum_score(),
