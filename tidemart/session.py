@@ -72,5 +72,5 @@ def staged(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     with shuffles_removed(spark):
-        df.write.mode("error").parquet(path)
+        df.write.mode("error").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
