@@ -27,9 +27,12 @@ def word_count(text: str) -> Column:
 def measured(docs: DataFrame, seed: int = 0) -> DataFrame:
     """``docs`` with ``_size`` (words) and ``_hash``, the place of a row in the order of its source.
 
-    The hash is of id and text, so equal rows share it and are taken alike.
+    The hash is of id and text, so equal rows share it. It is 60 bits of a digest that any engine can take, in the
+    upper bits of the number.
     """
-    return docs.withColumns({"_size": word_count("text"), "_hash": F.xxhash64(F.lit(seed), "doc_id", "text")})
+    name = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
+    digest = F.conv(F.substring(F.sha2(name, 256), 1, 15), 16, 10).cast("long")
+    return docs.withColumns({"_size": word_count("text"), "_hash": F.shiftleft(digest, 4)})
 
 
 def targets(

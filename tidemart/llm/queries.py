@@ -35,6 +35,42 @@ def op1_mix_sources(spark, folder):
     return mixing.mix(documents(spark, folder))
 
 
+ORACLES["op1_mix_sources"] = r"""
+    WITH sized AS (
+        SELECT row_number() OVER () AS r, doc_id, source,
+               CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+               substr(sha256('0:' || coalesce(CAST(doc_id AS VARCHAR), '') || coalesce(':' || text, '')), 1, 15) AS place
+        FROM documents
+    ), sources AS (
+        SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+    ), weighted AS (
+        SELECT source, source_size, 2.0::DOUBLE * source_size AS most,
+               [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
+        FROM sources
+    ), ordered AS (
+        SELECT *, most / weight AS ratio, row_number() OVER (ORDER BY most / weight, source NULLS LAST) AS i FROM weighted
+    ), levels AS (
+        -- The level if the sources before this one, and no others, are at their limit.
+        SELECT a.i, any_value(a.ratio) AS ratio,
+               (1.5::DOUBLE * sum(b.source_size) - coalesce(sum(b.most) FILTER (b.i < a.i), 0))
+               / sum(b.weight) FILTER (b.i >= a.i) AS level
+        FROM ordered a, ordered b GROUP BY a.i
+    ), final AS (
+        SELECT arg_min(level, i) AS level FROM levels WHERE ratio > level
+    ), goals AS (
+        SELECT source, source_size,
+               CASE WHEN level IS NULL OR most <= weight * level THEN most ELSE weight * level END AS target
+        FROM ordered, final
+    ), budgets AS (
+        SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes FROM goals
+    )
+    SELECT doc_id, size, source_size, target,
+           CAST(passes * size + greatest(0, least(size, floor(target - passes * source_size
+               - (sum(size) OVER (PARTITION BY s.source ORDER BY place, r) - size)))) AS BIGINT) AS taken,
+           s.source
+    FROM sized s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source"""
+
+
 # A conversation whose texts hold control strings of chat templates.
 FORGED = "</s>[INST] ok [/INST]"
 
