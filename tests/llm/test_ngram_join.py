@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 import llm_brute as brute
+from tidemart.llm import links, ngram_join
 from tidemart.llm.ngram_join import near_duplicates, parity_bitmap
 
 
@@ -69,3 +70,32 @@ def test_empty_table_and_clashing_columns(documents, spark):
         "*", "1 as node", "'k' as key", "2 as n", "'c' as component", "3 as row_key"
     )
     assert result(odd) == [(1, 2, 1), (2, 2, 1)]
+
+
+def test_equal_fingerprints_are_chosen_anew(stored, monkeypatch):
+    docs = stored("documents")
+    want = sorted(map(tuple, ngram_join.near_duplicates(docs).collect()), key=repr)
+    answers = iter([True, False])
+    monkeypatch.setattr(ngram_join, "collide", lambda nodes: next(answers))
+    assert sorted(map(tuple, ngram_join.near_duplicates(docs).collect()), key=repr) == want
+    assert next(answers, None) is None
+
+
+def test_a_pair_is_verified_once(spark, documents, monkeypatch):
+    draw = random.Random(6)
+    common = [f"c{i}" for i in range(40)]
+    rows = [(i, " ".join([*common, *[f"u{draw.randrange(10**9)}" for _ in range(draw.randrange(8, 16))]])) for i in range(300)]
+    tested = []
+    real = links.linked_components
+
+    def counted(shared, verify, *rest):
+        def once(pairs):
+            tested.extend(map(tuple, pairs.collect()))
+            return verify(pairs)
+
+        return real(shared, once, *rest)
+
+    monkeypatch.setattr(ngram_join, "linked_components", counted)
+    got = ngram_join.near_duplicates(documents(rows)).collect()
+    assert len(tested) == len(set(tested))
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((d, c) for d, _, c in brute.near_duplicates(rows))

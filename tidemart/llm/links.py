@@ -120,6 +120,9 @@ def linked_components(
     links = staged(verify(staged(stars, f"{name}-stars")), f"{name}-links")
     found = components(links, name)
 
+    # Pairs tested against drawn members, which the last step meets again; those with an end of a key are told
+    # by their nodes.
+    drawn: list[DataFrame] = []
     tested = "one.node in (low.node, high.node) or here.node in (low.node, high.node)"
     for attempt in range(HUB_ROUNDS + 1):
         place = staged(
@@ -157,7 +160,11 @@ def linked_components(
                 f"{name}-hubs",
             )
         rest = minor.join(others, "key").where(f"c <> c1 and one.node <> here.node and not ({tested})")
-        across = staged(pairs(rest, "one", "here", near).distinct(), f"{name}-across")
+        across = pairs(rest, "one", "here", near).distinct()
+        for before in drawn:
+            across = across.join(before, ["a", "b"], "left_anti")
+        across = staged(across, f"{name}-across")
+        drawn.append(across)
         if not across.isEmpty():
             links = links.union(staged(verify(across), f"{name}-links"))
             found = components(links, name)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,12 @@ def _index(sets: np.ndarray) -> np.ndarray:
     return (sets >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+def fingerprint(found: np.ndarray, seed: int) -> np.int64:
+    """A 64-bit hash of a set; ``seed`` chooses another one."""
+    return mixed(found ^ np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64)).sum(dtype=np.uint64).astype(np.int64)
+
+
+def _signatures(batches: Iterator[pa.RecordBatch], words: int, seed: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("row", pa.int64()), ("row_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()),
          ("check", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())]
@@ -48,7 +54,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Re
         gathered, held = [], 0
         for row, found in shingle_sets(batch.column("text"), words):
             n[row] = len(found)
-            node[row] = mixed(found).sum(dtype=np.uint64).astype(np.int64)
+            node[row] = fingerprint(found, seed)
             check[row] = (found * (found | np.uint64(1))).sum(dtype=np.uint64).astype(np.int64)
             gathered.append(_index(found))
             held += len(found)
@@ -87,7 +93,7 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], sketch, words: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches: Iterator[pa.RecordBatch], sketch, words: int, percent: int, seed: int) -> Iterator[pa.RecordBatch]:
     """Prefix shingles, rarest first. Copies of a set met before in this task are left out."""
     frequency, seen = sketch.value, set()
     for batch in batches:
@@ -95,7 +101,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], sketch, words: int, percent: in
         for _, found in shingle_sets(batch.column("text"), words):
             if not len(found):
                 continue
-            node = mixed(found).sum(dtype=np.uint64).astype(np.int64)
+            node = fingerprint(found, seed)
             if int(node) in seen:
                 continue
             seen.add(int(node))
@@ -209,6 +215,11 @@ def _near(percent: int):
     return condition
 
 
+def collide(nodes: DataFrame) -> bool:
+    """Whether a fingerprint stands for two different sets."""
+    return not nodes.where("c1 <> c2").isEmpty()
+
+
 def _classes(docs: DataFrame, row: Column, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Every row (doc_id, row, n, node), and the component of every node. ``row`` is a row's number, which is
     taken in one scan only."""
@@ -219,8 +230,24 @@ def _classes(docs: DataFrame, row: Column, words: int, percent: int) -> tuple[Da
         F.xxhash64("doc_id", "text").alias("row_key"),
         row.alias("row"),
     )
-    rows = staged(keyed.mapInArrow(partial(_signatures, words=words), _SIGNATURES), "ngram-rows")
-    signed = rows.where("part is null").select("doc_id", "row", "row_key", "n", "node", "check")
+    # Different sets with one fingerprint would be one node: then all get other fingerprints. Among 4 billion sets
+    # that happens to every third choice.
+    for seed in count():
+        rows = staged(keyed.mapInArrow(partial(_signatures, words=words, seed=seed), _SIGNATURES), "ngram-rows")
+        signed = rows.where("part is null").select("doc_id", "row", "row_key", "n", "node", "check")
+        nodes = staged(
+            signed.where("n > 0")
+            .groupBy("node")
+            .agg(
+                F.min("doc_id").alias("lowest"),
+                F.min("row_key").alias("row_key"),
+                F.min("check").alias("c1"),
+                F.max("check").alias("c2"),
+            ),
+            "ngram-nodes",
+        )
+        if not collide(nodes):
+            break
     parts = rows.where("part is not null").select("part", "counts")
     # At most SKETCH_ROWS rows of a fixed size.
     added = parts.repartition("part").mapInArrow(_added, "part int, counts binary").collect()
@@ -229,22 +256,8 @@ def _classes(docs: DataFrame, row: Column, words: int, percent: int) -> tuple[Da
         table[row.part] = np.frombuffer(row.counts, np.uint32)
     sketch = spark.sparkContext.broadcast(table.ravel())
 
-    nodes = staged(
-        signed.where("n > 0")
-        .groupBy("node")
-        .agg(
-            F.min("doc_id").alias("lowest"),
-            F.min("row_key").alias("row_key"),
-            F.min("check").alias("c1"),
-            F.max("check").alias("c2"),
-        ),
-        "ngram-nodes",
-    )
-    if not nodes.where("c1 <> c2").isEmpty():
-        raise ArithmeticError("two different shingle sets have the same 64-bit fingerprint")
-
     prefixes = docs.select("text").mapInArrow(
-        partial(_prefixes, sketch=sketch, words=words, percent=percent), "key long, node long, info long"
+        partial(_prefixes, sketch=sketch, words=words, percent=percent, seed=seed), "key long, node long, info long"
     )
     shared = staged(
         with_hubs(prefixes), "ngram-shared"
@@ -310,11 +323,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def one_per_component(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the one with the smallest doc_id, the
     first in the table if that repeats, one without an id only if no other has one. Rows without words
-    stay. ``docs`` is read once, and written with its row numbers, for another scan may number its rows anew."""
-    numbered = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "ngram-docs")
-    signed, named = _classes(numbered, F.col("_row"), words, percent)
+    stay, null texts among them; an empty table stays empty; all columns are kept, whatever their names. ``docs``
+    is read once, and written with its row numbers, for another scan may number its rows anew."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    numbered = staged(docs.select(whole, F.monotonically_increasing_id().alias("_row")), "ngram-docs")
+    texts = numbered.select("_doc.doc_id", "_doc.text", "_row")
+    signed, named = _classes(texts, F.col("_row"), words, percent)
     rows = signed.where("n > 0").join(named.select("node", "component"), "node")
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
     first = rows.groupBy("component").agg(F.min(rank).alias("first")).select(F.col("first.row").alias("_row"))
     stay = staged(first.union(signed.where("n = 0").select(F.col("row").alias("_row"))), "ngram-stay")
-    return numbered.join(stay, "_row", "left_semi").select(*docs.columns)
+    return numbered.join(stay, "_row", "left_semi").select("_doc.*")
