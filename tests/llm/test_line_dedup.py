@@ -65,7 +65,7 @@ def test_edge_cases(documents):
         (1, None), (2, ""), (3, "\n\n"), (4, "short\nshort"), (5, "short\n \t\nthe same longer line"),
         (6, "the same longer line\nshort"), (7, "é" * 60_000), (8, "é" * 60_000 + "\nshorter"), (9, "😀" * 40),
     ]
-    odd = documents(rows).selectExpr("*", "1 as node", "2 as line", "3 as key", "4 as first").coalesce(1)
+    odd = documents(rows).selectExpr("*", "1 as node", "2 as line", "3 as key", "4 as first", "5 as _row", "6 as _all", "7 as `a.b`").coalesce(1)
     check(odd, rows)
     assert line_dedup.deduplicated(documents([])).count() == 0
     twice = line_dedup.deduplicated(documents([(None, "a long enough line")] * 3)).collect()
@@ -153,3 +153,32 @@ def test_partitions_that_move_between_scans(spark, documents, tmp_path, monkeypa
     assert sum("said by everyone alike" in lines for lines in got.values()) == 1
     kept = [x for lines in got.values() for x in lines]
     assert len(set(kept)) == len(kept) and {r.doc_id for r in alone} == set(own)
+
+
+def test_boilerplate_lines_make_few_pairs(documents, monkeypatch):
+    """Lines that share most of their text but do not link: what is compared exactly grows with the lines."""
+    draw = random.Random(9)
+    common = "".join(draw.choice("abcdefghij") for _ in range(60))
+    seen = []
+    verify = line_dedup.similar
+
+    def counting(pairs, *rest):
+        seen[-1] += pairs.count()
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(line_dedup, "similar", counting)
+    for n in (500, 1000, 2000):
+        rows = [(i, common + "".join(draw.choice("klmnopqrstuvwxyz") for _ in range(25))) for i in range(n)]
+        seen.append(0)
+        assert {r.n_removed for r in line_dedup.deduplicated(documents(rows)).collect()} == {0}
+    assert seen[2] <= 3 * seen[1] + 1000, seen
+
+
+def test_all_columns_come_back(documents):
+    rows = [(1, "one line of text\nanother line of text"), (2, "one line of text\nown words here"), (3, None)]
+    odd = documents(rows).selectExpr("*", "doc_id + 5 as _row", "doc_id + 6 as _removed", "doc_id + 7 as _all", "doc_id as doc").coalesce(1)
+    out = line_dedup.without_repeats(odd)
+    assert out.columns == odd.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[2].text == "own words here" and got[3].text is None
+    assert all((r._row, r._removed, r._all, r.doc) == (i + 5, i + 6, i + 7, i) for i, r in got.items())

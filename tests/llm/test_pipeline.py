@@ -76,9 +76,36 @@ def test_mix_and_packing(stages):
     assert sum(r.start == 0 for r in after) == len(before)
 
 
+ODD = [
+    (1, "the words of a good line " * 12, "a"), (1, "the words of a good line " * 12, "a"), (None, None, None), (2, "", "b"),
+    (3, " ".join(f"word{i}" for i in range(80)) + "\nthe same closing line for everyone here", "b"),
+    (4, " ".join(f"term{i}" for i in range(80)) + "\nthe same closing line for everyone here", None),
+    (None, " ".join(f"name{i}" for i in range(80)), "c"),
+]
+
+
+@pytest.mark.parametrize("rows", [[], ODD, ODD * 3])
+def test_stages_on_odd_rows_and_clashing_columns(spark, documents, tmp_path, rows):
+    names = ("_row", "_removed", "_all", "_doc", "doc", "removed", "node", "taken", "_size", "_hash", "failed", "kept")
+    docs = documents(rows).selectExpr("*", *[f"{i} as {n}" for i, n in enumerate(names)])
+    before = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, FOLDER).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name == "packing":
+            break
+        assert docs.columns == before, name
+        found = docs.collect()
+        assert all(r[n] == i for r in found for i, n in enumerate(names))
+        assert bool(found) == bool(rows)
+    if rows:
+        assert sum(bool(r.text and "closing line" in r.text) for r in found) <= 2
+        assert {r.doc_id for r in found} == {3, 4, None}
+
+
 def test_run_is_registered(spark):
     assert spark_entry.queries()["pipeline"](spark, FOLDER).columns[0] == "doc_id"
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
