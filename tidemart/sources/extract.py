@@ -109,13 +109,9 @@ def postings_in_periods(monthly: DataFrame, periods: DataFrame) -> DataFrame:
 
 def cap_rows_by_month(df: DataFrame, n: int) -> DataFrame:
     """The ``n`` earliest postings, by date, then job id, then every other column."""
-    levels = {
-        "day": F.col("post_date").cast("date"),
-        "job_high": F.shiftright("job_id", 40),
-        "job_mid": F.shiftright("job_id", 20),
-    }
     lead = ["post_date", "job_id"]
-    return first_rows(df, n, levels, [*lead, *[c for c in df.columns if c not in lead]])
+    ties = [*lead, *[c for c in df.columns if c not in lead]]
+    return first_rows(df, n, F.col("post_date").cast("date"), F.col("job_id"), ties)
 
 
 def dimension_for_facts(dim: DataFrame, facts: DataFrame, key: str) -> DataFrame:
