@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.growth import pct_change, ratio, series, trailing
 from ..schemas import MARTS
 
 
-def skill_monthly(base: DataFrame) -> DataFrame:
-    """Postings per month, place, role and skill, partitioned by place and role."""
-    keys = ("month", "geo_id", "role_id", "skill_id")
-    counted = base.groupBy(*keys, "skill_name").agg(
+SKILL_SERIES = ("geo_id", "role_id", "skill_id")
+
+
+def _counted(base: DataFrame) -> DataFrame:
+    """Counts per month, series and name: the only pass over the input."""
+    return base.groupBy("month", *SKILL_SERIES, "skill_name").agg(
         F.sum("posting_count").cast("long").alias("skill_posting_count")
     )
+
+
+def _per_skill(counted: DataFrame) -> DataFrame:
     return (
-        counted.repartition("geo_id", "role_id")
-        .groupBy(*keys)
+        counted.repartition(*SKILL_SERIES)
+        .groupBy("month", *SKILL_SERIES)
         .agg(
             F.min("skill_name").alias("skill_name"),
             F.sum("skill_posting_count").alias("skill_posting_count"),
@@ -26,31 +30,40 @@ def skill_monthly(base: DataFrame) -> DataFrame:
     )
 
 
+def skill_monthly(base: DataFrame) -> DataFrame:
+    """Postings per month, place, role and skill, partitioned by the series of the last three."""
+    return _per_skill(_counted(base))
+
+
 def role_totals(base: DataFrame) -> DataFrame:
     return base.groupBy("month", "geo_id", "role_id").agg(
         F.sum("posting_count").cast("long").alias("role_posting_count")
     )
 
 
-def skill_share(base: DataFrame) -> DataFrame:
+def _with_share(skills: DataFrame, counted: DataFrame) -> DataFrame:
     """Each skill's share of its role's postings.
 
-    Role totals are the sum of the role's skills, so they come from the aggregated rows, in the
-    partitioning those already have: no second pass over the input and no join.
+    Role totals are the sum of the role's skills: a second, combined aggregation of the counted rows, whose
+    shuffle both read. So no task holds all skills of a place and role.
     """
-    role = W.partitionBy("month", "geo_id", "role_id")
-    totals = skill_monthly(base).withColumn(
-        "role_posting_count", F.sum("skill_posting_count").over(role)
-    )
+    role = ["month", "geo_id", "role_id"]
+    totals = counted.groupBy(*role).agg(F.sum("skill_posting_count").alias("role_posting_count"))
     share = ratio(F.col("skill_posting_count"), F.col("role_posting_count"))
-    return totals.withColumn("share_within_role", share)
+    return skills.join(totals, role).withColumn("share_within_role", share)
+
+
+def skill_share(base: DataFrame) -> DataFrame:
+    counted = _counted(base)
+    return _with_share(_per_skill(counted), counted)
 
 
 def skill_demand(base: DataFrame) -> DataFrame:
     """Shares with year-over-year growth over the months in which the skill was observed."""
-    observed = series("geo_id", "role_id", "skill_id")
-    growth = pct_change("skill_posting_count", 12, observed)
-    return skill_share(base).withColumn("yoy_growth", growth).select(*MARTS["skill_demand"].columns)
+    counted = _counted(base)
+    growth = pct_change("skill_posting_count", 12, series(*SKILL_SERIES))
+    grown = _per_skill(counted).withColumn("yoy_growth", growth)
+    return _with_share(grown, counted).select(*MARTS["skill_demand"].columns)
 
 
 def cooccurrence_monthly(base: DataFrame) -> DataFrame:
