@@ -1,0 +1,114 @@
+"""Lineage by month and the registry of runs."""
+
+from dataclasses import replace
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemart import schemas
+from tidemart.plans import contracts, lineage, metadata, registry
+from tidemart.plans.build import Sources, record_run
+from tidemart.settings import RunSettings
+from tidemart.sinks.tables import write_monthly
+from tidemart.sources.snapshot import read_monthly
+
+SETTINGS = RunSettings(run_id="one", run_timestamp=datetime(2026, 4, 1))
+
+
+def days(spark, rows, kind="long"):
+    return spark.createDataFrame(rows, "job_id long, post_date date").withColumn("job_id", F.col("job_id").cast(kind))
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    path = str(tmp_path / "s")
+    write_monthly(days(spark, [(i, date(2024, 1 + i % 4, 3)) for i in range(40)]), path)
+    return path
+
+
+def test_months_add_up_to_the_whole(spark, stored):
+    found = lineage.month_lineage(spark, stored)
+    assert [(r.year, r.month, r.row_count) for r in found.collect()] == [(2024, m, 10) for m in range(1, 5)]
+    df = read_monthly(spark, stored)
+    record = lineage.lineage_record(found, "r", "postings", stored).first()
+    assert tuple(record) == tuple(metadata.source_lineage(df, "r", "postings", stored).first())
+    assert lineage.lineage_record(lineage.month_lineage(spark, stored + "/none"), "r", "p", "x").first().row_count == 0
+
+
+def test_only_changed_months_are_read_again(spark, stored, monkeypatch):
+    known = lineage.month_lineage(spark, stored)
+    known = spark.createDataFrame(known.collect(), known.schema)
+    write_monthly(days(spark, [(99, date(2024, 2, 5)), (1, date(2024, 6, 1))]), stored)
+    read = []
+    real = lineage.month_groups
+    monkeypatch.setattr(lineage, "month_groups", lambda s, folders: real(s, read.append(folders) or folders))
+    found = lineage.month_lineage(spark, stored, known)
+    assert sorted(f.rsplit("month=")[1] for _, f in read[0]) == ["2", "6"] and len(read) == 1
+    assert lineage.changed_months(known, found) == [date(2024, 2, 1), date(2024, 6, 1)]
+    monkeypatch.undo()
+    assert sorted(found.collect()) == sorted(lineage.month_lineage(spark, stored).collect())
+
+
+def test_rewritten_months_with_the_same_rows_did_not_change(spark, stored):
+    known = lineage.month_lineage(spark, stored)
+    write_monthly(days(spark, [(i, date(2024, 1, 3)) for i in range(36, -1, -4)]).repartition(3), stored)
+    found = lineage.month_lineage(spark, stored, known)
+    assert found.where("month = 1").first().files_hash != known.where("month = 1").first().files_hash
+    assert lineage.changed_months(known, found) == []
+
+
+def test_a_month_is_hashed_in_its_own_types(spark, stored):
+    known = {r.month: r.row_hash for r in lineage.month_lineage(spark, stored).collect()}
+    write_monthly(days(spark, [(7, date(2024, 4, 3))], "string"), stored)
+    found = {r.month: r.row_hash for r in lineage.month_lineage(spark, stored).collect()}
+    assert all(found[m] == known[m] for m in (1, 2, 3)) and found[4] != known[4]
+
+
+def records(spark, run_id="one", notes="n", other=None):
+    posts = days(spark, [(1, date(2024, 1, 17)), (2, date(2024, 3, 2))])
+    settings = replace(SETTINGS, run_id=run_id, notes=notes)
+    source = metadata.source_lineage(posts, other or run_id, "postings", "p")
+    splits = spark.createDataFrame([], schemas.METADATA["model_eval_splits"].schema)
+    return metadata.pipeline_run(posts, settings), source, splits
+
+
+def test_a_run_is_registered_once(spark, tmp_path):
+    root = str(tmp_path)
+    assert registry.registered(spark, root, registry.RUNS).isEmpty()
+    assert registry.register(spark, root, *records(spark))
+    assert not registry.register(spark, root, *records(spark, notes="changed"))
+    assert registry.register(spark, root, *records(spark, "two"))
+    runs = registry.registered(spark, root, registry.RUNS)
+    assert sorted((r.run_id, r.notes) for r in runs.collect()) == [("one", "n"), ("two", "n")]
+    kept = registry.registered(spark, root, registry.LINEAGE)
+    assert kept.count() == 2 and contracts.orphans(kept, runs, "run_id").isEmpty()
+
+
+def test_records_are_held_to_their_contracts(spark, tmp_path):
+    run, source, splits = records(spark)
+    for bad in ((run.drop("notes"), source, splits), (run.union(run), source, splits), (run.where("false"), source, splits)):
+        with pytest.raises(contracts.ContractError):
+            registry.register(spark, str(tmp_path), *bad)
+    with pytest.raises(contracts.ContractError, match="another run"):
+        registry.register(spark, str(tmp_path), *records(spark, other="two"))
+    assert registry.registered(spark, str(tmp_path), registry.RUNS).isEmpty()
+
+
+def test_a_broken_registration_is_not_seen(spark, tmp_path):
+    run, source, splits = records(spark)
+    source.write.parquet(f"{tmp_path}/runs/one/source_lineage")
+    assert registry.registered(spark, str(tmp_path), registry.LINEAGE).isEmpty()
+    assert registry.register(spark, str(tmp_path), run, source, splits)
+    assert registry.registered(spark, str(tmp_path), registry.LINEAGE).count() == 1
+
+
+def test_a_build_records_its_sources(spark, frame, tmp_path):
+    posts = days(spark, [(1, date(2024, 1, 17))])
+    sources = Sources(posts, frame(schemas.COMPANY, [{"rcid": 1}]), None)
+    months = [{"entity_type": "role", "month": date(y, 6, 1)} for y in (2023, 2025)]
+    settings = replace(SETTINGS, output_root=str(tmp_path))
+    assert record_run(spark, sources, frame(schemas.MARTS["trajectory_features"].schema, months), settings)
+    kept = registry.registered(spark, f"{tmp_path}/metadata", registry.LINEAGE).collect()
+    assert sorted((r.source_name, r.row_count) for r in kept) == [("company_mapping", 1), ("postings", 1)]
+    assert registry.registered(spark, f"{tmp_path}/metadata", registry.SPLITS).count() == 1

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,9 +22,12 @@ from ..sources.snapshot import (
     read_or_empty,
     require_columns,
 )
-from .contracts import require_contract
+from .contracts import column_checks, require_contract
+from .contracts import require_columns as require_columns_of
 from .demand import job_demand
 from .extraction import read_snapshot
+from .metadata import model_eval_splits, pipeline_run, source_lineage
+from .registry import register
 from .salary import salary_distribution
 from .skills import role_skill_associations, skill_demand
 from .staging import posting_cube, universe_postings
@@ -105,24 +110,51 @@ def run_build(
     settings: RunSettings,
     grain: str = "role",
 ) -> dict[str, DataFrame]:
-    """Read the snapshot under ``source_root``, build, export to ``output_root`` and validate."""
-    marts = build_marts(read_sources(spark, settings.source_root), roles, skills, settings, grain)
-    export_marts(marts, settings.output_root)
-    exported = validate_outputs(spark, settings)
+    """Read the snapshot under ``source_root``, build, export to ``output_root``, validate and register the run
+    with its sources and splits under ``output_root/metadata``."""
+    sources = read_sources(spark, settings.source_root)
+    marts = build_marts(sources, roles, skills, settings, grain)
+    for name, contract in schemas.MARTS.items():
+        require_columns_of(marts[name], name, contract)
+    counted = export_marts(
+        marts, settings.output_root, {name: column_checks(c) for name, c in schemas.MARTS.items()}
+    )
+    exported = validate_outputs(spark, settings, counted)
+    record_run(spark, sources, exported["trajectory_features"], settings)
     if exported["trajectory_features"].isEmpty() and not exported["job_demand"].isEmpty():
         warnings.warn(f"no entity has {settings.min_observations} observed months: no trajectories")
     return exported
 
 
-def validate_outputs(spark: SparkSession, settings: RunSettings) -> dict[str, DataFrame]:
-    """All exported marts, each present and within its contract; anything else is an error."""
+def record_run(spark: SparkSession, sources: Sources, features: DataFrame, settings: RunSettings) -> bool:
+    """Register the run of ``settings``; False if its id is registered already."""
+    named = {"postings": sources.postings, "company_mapping": sources.company}
+    if sources.regions is not None:
+        named["regions"] = sources.regions
+    lineage = [
+        source_lineage(df, settings.run_id, name, f"{settings.source_root}/{name}") for name, df in named.items()
+    ]
+    return register(
+        spark,
+        f"{settings.output_root}/metadata",
+        pipeline_run(sources.postings, settings),
+        reduce(DataFrame.unionByName, lineage),
+        model_eval_splits(features, settings),
+    )
+
+
+def validate_outputs(
+    spark: SparkSession, settings: RunSettings, counted: Mapping[str, Mapping[str, int]] | None = None
+) -> dict[str, DataFrame]:
+    """All exported marts, each present and within its contract; anything else is an error. What was ``counted``
+    of a mart while it was exported is not counted again."""
     missing = [n for n in schemas.MARTS if not exists(spark, f"{settings.output_root}/{n}.parquet")]
     if missing:
         raise FileNotFoundError(f"marts not exported: {', '.join(missing)}")
     found = {}
     for name, contract in schemas.MARTS.items():
         found[name] = spark.read.parquet(f"{settings.output_root}/{name}.parquet")
-        require_contract(found[name], name, contract)
+        require_contract(found[name], name, contract, (counted or {}).get(name))
     return found
 
 

@@ -41,9 +41,13 @@ def register_run(runs: DataFrame, candidates: DataFrame) -> DataFrame:
     return runs.unionByName(new_runs(runs, candidates))
 
 
+def row_hashes(df: DataFrame) -> Column:
+    """The sum of row hashes: free of order, additive over parts, and repeated rows do not cancel out."""
+    return F.sum(F.xxhash64(*df.columns).cast("decimal(28,0)"))
+
+
 def checksum(df: DataFrame) -> Column:
-    """Order-free checksum: a sum of row hashes, so that repeated rows do not cancel out."""
-    return F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).cast("string")
+    return row_hashes(df).cast("string")
 
 
 def source_lineage(df: DataFrame, run_id: str, name: str, path: str) -> DataFrame:

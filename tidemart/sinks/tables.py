@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from ..sources.extract import with_partition_columns
 
+# Different ids that a Bloom filter of a row group is laid out for.
+BLOOM_VALUES = 20_000
 # The column order consumers look a mart up by; files sorted by it carry narrow min/max ranges.
 LOOKUP_ORDER: dict[str, tuple[str, ...]] = {
     "job_demand": ("role_id", "month", "industry_id", "geo_id"),
@@ -39,9 +41,23 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_mart(df: DataFrame, path: str, order: Sequence[str]) -> None:
-    """Parquet laid out for lookups: range-partitioned and sorted by ``order``."""
-    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+def write_mart(df: DataFrame, path: str, order: Sequence[str], measures: Sequence[Column] = ()) -> dict:
+    """Parquet laid out for lookups: range-partitioned and sorted by ``order``, with Bloom filters on the id
+    columns, so that a lookup of an id skips the row groups that lack it. Returns ``measures`` of the rows, taken
+    while they are written.
+    """
+    # Above the sort: below it the sampling of the ranges would count rows twice.
+    laid_out = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    seen = Observation()
+    if measures:
+        laid_out = laid_out.observe(seen, *measures)
+    writer = laid_out.write.mode("overwrite")
+    for column in order:
+        if column.endswith("_id"):
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
+            writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", BLOOM_VALUES)
+    writer.parquet(path)
+    return seen.get if measures else {}
 
 
 def _csv(df: DataFrame, path: str) -> None:
@@ -61,16 +77,21 @@ def write_csv(df: DataFrame, path: str) -> None:
     _csv(df, path)
 
 
-def export_marts(marts: Mapping[str, DataFrame], folder: str) -> None:
-    """Every mart as ``<name>.parquet`` and, read back from it, ``<name>.csv`` with header."""
+def export_marts(
+    marts: Mapping[str, DataFrame], folder: str, measures: Mapping[str, Sequence[Column]] | None = None
+) -> dict[str, dict]:
+    """Every mart as ``<name>.parquet`` and, read back from it, ``<name>.csv`` with header. Returns by mart its
+    ``measures``, taken on the way."""
+    measured = {}
     for name, df in marts.items():
         parquet = f"{folder}/{name}.parquet"
         order = LOOKUP_ORDER.get(name)
         if order:
-            write_mart(df, parquet, order)
+            measured[name] = write_mart(df, parquet, order, (measures or {}).get(name, ()))
         else:
             write_table(df, parquet)
         write_csv(df.sparkSession.read.schema(df.schema).parquet(parquet), f"{folder}/{name}.csv")
+    return measured
 
 
 def write_report(df: DataFrame, path: str, order: Sequence) -> None:

@@ -84,17 +84,11 @@ def read_monthly(
     return df
 
 
-def read_months(
-    spark: SparkSession, folders: Iterable[tuple[str, str]], canonical: T.StructType | None = None
-) -> DataFrame:
-    """Month folders, each with the snapshot it lies in, as one frame, although their files may differ in schema.
+def month_groups(spark: SparkSession, folders: Iterable[tuple[str, str]]) -> list[DataFrame]:
+    """Month folders, each with the snapshot it lies in, as a frame per stored schema.
 
     The schema of a folder is that of its files, as one extraction wrote them: one footer each is read.
-    Folders of one schema are read together. A column that has the same type wherever it occurs keeps it; one
-    whose type changes comes in its type of ``canonical`` (the posting columns unless given), and one that is
-    not named there as text. A column that some folders lack is null in them.
     """
-    canonical = posting_file_schema() if canonical is None else canonical
     folders = sorted(folders)
     with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
         found = list(pool.map(lambda place: spark.read.parquet(place[1]).schema, folders))
@@ -102,15 +96,31 @@ def read_months(
     for (base, folder), schema in zip(folders, found):
         plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema if f.name not in PARTITIONS.names])
         groups.setdefault((base, plain.json()), (plain, []))[1].append(folder)
+    return [
+        spark.read.schema(T.StructType([*schema, *PARTITIONS])).option("basePath", base).parquet(*members)
+        for (base, _), (schema, members) in groups.items()
+    ]
+
+
+def read_months(
+    spark: SparkSession, folders: Iterable[tuple[str, str]], canonical: T.StructType | None = None
+) -> DataFrame:
+    """Month folders, each with the snapshot it lies in, as one frame, although their files may differ in schema.
+
+    Folders of one schema are read together. A column that has the same type wherever it occurs keeps it; one
+    whose type changes comes in its type of ``canonical`` (the posting columns unless given), and one that is
+    not named there as text. A column that some folders lack is null in them.
+    """
+    canonical = posting_file_schema() if canonical is None else canonical
+    known = {f.name: f.dataType for f in canonical}
+    groups = month_groups(spark, folders)
     kinds: dict[str, set[str]] = {}
-    for schema, _ in groups.values():
-        for field in schema:
+    for df in groups:
+        for field in df.schema:
             kinds.setdefault(field.name, set()).add(field.dataType.json())
     drifting = {name for name, types in kinds.items() if len(types) > 1}
     frames = []
-    for (base, _), (schema, members) in groups.items():
-        df = spark.read.schema(T.StructType([*schema, *PARTITIONS])).option("basePath", base).parquet(*members)
-        known = {f.name: f.dataType for f in canonical}
+    for df in groups:
         same = {n: typed(df, n, known.get(n, T.StringType())) for n in drifting if n in df.columns}
         frames.append(df.withColumns(same) if same else df)
     return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), frames)

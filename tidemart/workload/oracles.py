@@ -729,3 +729,20 @@ oracle(
            max(month) FILTER (month >= DATE '2001-01-01') AS test_end_month
     FROM features_role WHERE month >= DATE '1998-01-01' GROUP BY entity_type""",
 )
+oracle(
+    "monthly_lineage",
+    """SELECT CAST(year(post_date) AS INTEGER) AS year, CAST(month(post_date) AS INTEGER) AS month,
+           count(*) AS row_count, strftime(min(post_date), '%Y-%m') = '1998-03' AS changed
+    FROM postings
+    WHERE post_date IS NOT NULL AND (strftime(post_date, '%Y-%m') <> '1998-03' OR job_id % 3 > 0)
+    GROUP BY 1, 2""",
+)
+oracle(
+    "registered_sources",
+    """SELECT 'run_standin' AS run_id, source_name, 'snapshot/' || source_name AS source_path, row_count,
+           (SELECT CAST(date_trunc('month', min(post_date)) AS DATE) FROM postings) AS source_start_month,
+           (SELECT CAST(date_trunc('month', max(post_date)) AS DATE) FROM postings) AS source_end_month
+    FROM (SELECT 'postings' AS source_name, count(*) AS row_count FROM postings
+          UNION ALL SELECT 'company_mapping', count(*) FROM company_mapping
+          UNION ALL SELECT 'regions', count(*) FROM regions)""",
+)

@@ -27,14 +27,16 @@ from ..plans import (
     contracts,
     demand,
     extraction,
+    lineage,
     metadata,
+    registry,
     reports,
     salary,
     skills,
     staging,
     trajectory,
 )
-from ..plans.build import Sources, build_marts
+from ..plans.build import Sources, build_marts, record_run
 from ..schemas import DISCLOSURE_COUNT, MARTS
 from ..session import shared_folder
 from ..settings import new_run_id
@@ -682,3 +684,37 @@ def pipeline_run(spark, folder):
 @query
 def model_eval_splits(spark, folder):
     return metadata.model_eval_splits(features("role")(spark, folder), SETTINGS, **SPLITS)
+
+
+@query
+def monthly_lineage(spark, folder):
+    """Rows by month of a stored snapshot, of which one month was replaced after the first lineage was taken."""
+    path = f"{shared_folder(spark)}/postings-{new_run_id()}"
+    source = standin.postings(spark, folder).select("job_id", "post_date", "salary")
+    write_monthly(source, path)
+    known = lineage.month_lineage(spark, path)
+    march = source.where("date_format(post_date, 'yyyy-MM') = '1998-03' and job_id % 3 > 0")
+    write_monthly(march, path)
+    found = lineage.month_lineage(spark, path, known)
+    changed = lineage.changed_months(known, found)
+    first = F.make_date("year", "month", F.lit(1))
+    # The hash function is Spark's own, so hashes are left to the tests.
+    return found.select("year", "month", "row_count", first.isin(changed).alias("changed"))
+
+
+@query
+def registered_sources(spark, folder):
+    """The lineage records of a run, registered, and registered again under the same id with other records."""
+    root = f"{shared_folder(spark)}/registry-{new_run_id()}"
+    sources = Sources(
+        standin.postings(spark, folder), standin.company_mapping(spark, folder), standin.regions(spark, folder)
+    )
+    settings = replace(SETTINGS, output_root=root, source_root="snapshot")
+    trajectories = features("role")(spark, folder)
+    record_run(spark, sources, trajectories, settings)
+    record_run(spark, replace(sources, regions=None), trajectories, settings)
+    kept = registry.registered(spark, f"{root}/metadata", registry.LINEAGE)
+    runs = registry.registered(spark, f"{root}/metadata", registry.RUNS)
+    return kept.join(runs, "run_id").select(
+        "run_id", "source_name", "source_path", "row_count", "source_start_month", "source_end_month"
+    )
