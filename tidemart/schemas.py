@@ -112,12 +112,13 @@ class Contract:
         return self.schema.names
 
 
-def _contract(schema: T.StructType, key: str, nullable: str = "") -> Contract:
-    optional = set(nullable.split())
+def _contract(
+    schema: T.StructType, key: tuple[str, ...], nullable: tuple[str, ...] = ()
+) -> Contract:
     return Contract(
         schema=schema,
-        key=tuple(key.split()),
-        required=tuple(name for name in schema.names if name not in optional),
+        key=key,
+        required=tuple(name for name in schema.names if name not in nullable),
     )
 
 
@@ -136,8 +137,8 @@ MARTS: dict[str, Contract] = {
             rolling_3m_growth="double",
             acceleration="double",
         ),
-        key="month geo_id industry_id role_id",
-        nullable="yoy_growth rolling_3m_growth acceleration",
+        key=("month", "geo_id", "industry_id", "role_id"),
+        nullable=("yoy_growth", "rolling_3m_growth", "acceleration"),
     ),
     "skill_demand": _contract(
         _schema(
@@ -151,8 +152,8 @@ MARTS: dict[str, Contract] = {
             share_within_role="double",
             yoy_growth="double",
         ),
-        key="month geo_id role_id skill_id",
-        nullable="share_within_role yoy_growth",
+        key=("month", "geo_id", "role_id", "skill_id"),
+        nullable=("share_within_role", "yoy_growth"),
     ),
     "role_skill_associations": _contract(
         _schema(
@@ -163,8 +164,8 @@ MARTS: dict[str, Contract] = {
             p_skill_given_role="double",
             lift="double",
         ),
-        key="month role_id skill_id",
-        nullable="p_skill_given_role lift",
+        key=("month", "role_id", "skill_id"),
+        nullable=("p_skill_given_role", "lift"),
     ),
     "salary_distribution": _contract(
         _schema(
@@ -176,8 +177,8 @@ MARTS: dict[str, Contract] = {
             salary_p50="double",
             salary_p75="double",
         ),
-        key="month geo_id industry_id role_id",
-        nullable="salary_p25 salary_p50 salary_p75",
+        key=("month", "geo_id", "industry_id", "role_id"),
+        nullable=("salary_p25", "salary_p50", "salary_p75"),
     ),
     "trajectory_features": _contract(
         _schema(
@@ -197,9 +198,15 @@ MARTS: dict[str, Contract] = {
             train_start_month="date",
             validation_start_month="date",
         ),
-        key="entity_type entity_id month feature_version",
-        nullable="yoy_growth rolling_3m_growth acceleration volatility_12m"
-        " demand_concentration_index momentum_score",
+        key=("entity_type", "entity_id", "month", "feature_version"),
+        nullable=(
+            "yoy_growth",
+            "rolling_3m_growth",
+            "acceleration",
+            "volatility_12m",
+            "demand_concentration_index",
+            "momentum_score",
+        ),
     ),
     "trajectory_labels": _contract(
         _schema(
@@ -214,8 +221,8 @@ MARTS: dict[str, Contract] = {
             method_version="string",
             run_timestamp="timestamp_ntz",
         ),
-        key="entity_type entity_id month label_version method_version",
-        nullable="trajectory_score confidence",
+        key=("entity_type", "entity_id", "month", "label_version", "method_version"),
+        nullable=("trajectory_score", "confidence"),
     ),
 }
 
@@ -232,8 +239,8 @@ METADATA: dict[str, Contract] = {
             cs_allowlist_version="string",
             notes="string",
         ),
-        key="run_id",
-        nullable="source_start_month source_end_month notes",
+        key=("run_id",),
+        nullable=("source_start_month", "source_end_month", "notes"),
     ),
     "source_lineage": _contract(
         _schema(
@@ -243,8 +250,8 @@ METADATA: dict[str, Contract] = {
             row_count="long",
             checksum="string",
         ),
-        key="run_id source_name source_path",
-        nullable="row_count checksum",
+        key=("run_id", "source_name", "source_path"),
+        nullable=("row_count", "checksum"),
     ),
     "model_eval_splits": _contract(
         _schema(
@@ -258,8 +265,8 @@ METADATA: dict[str, Contract] = {
             test_start_month="date",
             test_end_month="date",
         ),
-        key="split_id",
-        nullable="validation_end_month test_start_month test_end_month",
+        key=("split_id",),
+        nullable=("validation_end_month", "test_start_month", "test_end_month"),
     ),
 }
 

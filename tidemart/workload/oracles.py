@@ -512,6 +512,7 @@ oracle(
 oracle("monthly_demand", "SELECT * FROM monthly_demand")
 oracle("demand_filled", "SELECT * EXCLUDE (n) FROM demand_filled")
 oracle("job_demand", "SELECT * FROM job_demand")
+oracle("incremental_job_demand", "SELECT * FROM job_demand")
 for _name, _metric in (
     ("demand_yoy", "yoy_growth"),
     ("demand_3m_growth", "rolling_3m_growth"),
@@ -635,23 +636,66 @@ _MART_STEPS = {
     "trajectory_labels": "labels_role",
 }
 _REQUIRED = {
-    "job_demand": "month geo_id geo_name industry_id industry_name role_id role_name posting_count",
-    "skill_demand": "month geo_id role_id skill_id skill_name skill_posting_count"
-    " role_posting_count",
-    "role_skill_associations": "month role_id skill_id co_occurrence_count",
-    "salary_distribution": "month geo_id industry_id role_id",
-    "trajectory_features": "entity_type entity_id month posting_count feature_version"
-    " run_timestamp cs_allowlist_version train_start_month validation_start_month",
-    "trajectory_labels": "entity_type entity_id month trajectory_class method label_version"
-    " method_version run_timestamp",
+    "job_demand": (
+        "month",
+        "geo_id",
+        "geo_name",
+        "industry_id",
+        "industry_name",
+        "role_id",
+        "role_name",
+        "posting_count",
+    ),
+    "skill_demand": (
+        "month",
+        "geo_id",
+        "role_id",
+        "skill_id",
+        "skill_name",
+        "skill_posting_count",
+        "role_posting_count",
+    ),
+    "role_skill_associations": (
+        "month",
+        "role_id",
+        "skill_id",
+        "co_occurrence_count",
+    ),
+    "salary_distribution": (
+        "month",
+        "geo_id",
+        "industry_id",
+        "role_id",
+    ),
+    "trajectory_features": (
+        "entity_type",
+        "entity_id",
+        "month",
+        "posting_count",
+        "feature_version",
+        "run_timestamp",
+        "cs_allowlist_version",
+        "train_start_month",
+        "validation_start_month",
+    ),
+    "trajectory_labels": (
+        "entity_type",
+        "entity_id",
+        "month",
+        "trajectory_class",
+        "method",
+        "label_version",
+        "method_version",
+        "run_timestamp",
+    ),
 }
 _KEYS = {
-    "job_demand": "month, geo_id, industry_id, role_id",
-    "skill_demand": "month, geo_id, role_id, skill_id",
-    "role_skill_associations": "month, role_id, skill_id",
-    "salary_distribution": "month, geo_id, industry_id, role_id",
-    "trajectory_features": "entity_type, entity_id, month, feature_version",
-    "trajectory_labels": "entity_type, entity_id, month, label_version, method_version",
+    "job_demand": ("month", "geo_id", "industry_id", "role_id"),
+    "skill_demand": ("month", "geo_id", "role_id", "skill_id"),
+    "role_skill_associations": ("month", "role_id", "skill_id"),
+    "salary_distribution": ("month", "geo_id", "industry_id", "role_id"),
+    "trajectory_features": ("entity_type", "entity_id", "month", "feature_version"),
+    "trajectory_labels": ("entity_type", "entity_id", "month", "label_version", "method_version"),
 }
 
 
@@ -673,7 +717,7 @@ oracle(
         lambda m, t: "\nUNION ALL\n".join(
             f"SELECT '{m}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS null_rows"
             f" FROM {t}"
-            for c in _REQUIRED[m].split()
+            for c in _REQUIRED[m]
         )
     ),
 )
@@ -682,7 +726,7 @@ oracle(
     _each_mart(
         lambda m, t: f"""SELECT '{m}' AS table_name, count(*) AS repeated_keys,
            CAST(ifnull(sum(r - 1), 0) AS BIGINT) AS surplus_rows
-    FROM (SELECT count(*) AS r FROM {t} GROUP BY {_KEYS[m]} HAVING count(*) > 1)"""
+    FROM (SELECT count(*) AS r FROM {t} GROUP BY {", ".join(_KEYS[m])} HAVING count(*) > 1)"""
     ),
 )
 oracle(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +27,7 @@ from ..plans import (
     contracts,
     demand,
     extraction,
+    incremental,
     lineage,
     metadata,
     registry,
@@ -686,6 +687,21 @@ def model_eval_splits(spark, folder):
     return metadata.model_eval_splits(features("role")(spark, folder), SETTINGS, **SPLITS)
 
 
+@query
+def incremental_job_demand(spark, folder):
+    """Job demand after a build without a third of one month, and one that takes up the whole month."""
+    source, company = standin.postings(spark, folder), standin.company_mapping(spark, folder)
+    late = (F.date_format("post_date", "yyyy-MM") == "1998-03") & (F.col("job_id") % 3 == 0)
+    root = f"{shared_folder(spark)}/builds-{new_run_id()}"
+    earlier = replace(SETTINGS, run_id="earlier")
+    later = replace(SETTINGS, run_id="later", run_timestamp=SETTINGS.run_timestamp + timedelta(days=1))
+    before = Sources(source.where(F.coalesce(~late, F.lit(True))), company)
+    incremental.rebuild(spark, before, ROLES, SKILLS, earlier, root)
+    after = Sources(source, company)
+    built = incremental.rebuild(spark, after, ROLES, SKILLS, later, root, [date(1998, 3, 1)])
+    return built.read(spark, "job_demand")
+
+
 @query
 def monthly_lineage(spark, folder):
     """Rows by month of a stored snapshot, of which one month was replaced after the first lineage was taken."""
