@@ -8,6 +8,7 @@ from tidemart.functions.casts import date_or_null, number_or_null, numeric_key_o
 from tidemart.operators.enrich import join_company, join_region
 from tidemart.operators.universe import Allowlist, allowlist_sizes, dimension, in_universe
 from tidemart.plans import staging
+from tidemart.session import removed, staged
 
 DAY = date(2024, 2, 29)
 
@@ -199,3 +200,13 @@ def test_long_lists_filter_below_the_company_join(spark, frame, raw_source):
     df = staging.universe_postings(raw_source([]), frame(schemas.COMPANY, []), many, SKILL)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("INSET") > plan.index("Join")
+
+
+def test_removed_tables(spark, tmp_path):
+    folder = str(tmp_path)
+    one, other = (staged(spark.range(3), name, folder) for name in ("one", "other"))
+    kept = staged(one.join(other, "id"), "kept", folder)
+    removed(one, other, kept.where("id > 0"))
+    assert [path.name.split("-")[0] for path in tmp_path.iterdir()] == ["kept"]
+    assert kept.count() == 3
+    removed(one)

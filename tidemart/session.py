@@ -10,6 +10,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Folder of a local session that names none, by application.
+_OWN_FOLDERS: dict[str, str] = {}
 
 
 def local_session(app: str = "tidemart", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -43,9 +45,11 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tidemart-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # The setting cannot be changed in a running session.
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="tidemart-")
+    return _OWN_FOLDERS[application]
 
 
 @contextmanager
@@ -73,4 +77,19 @@ def staged(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     with shuffles_removed(spark):
         df.write.mode("error").option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._staged_path = path
+    return table
+
+
+def removed(*tables: DataFrame) -> None:
+    """Delete tables that :func:`staged` wrote, once everything that reads them has itself been written.
+
+    A step in rounds would else leave the tables of every round on the shared disk. Other frames are left alone.
+    """
+    for table in tables:
+        written = getattr(table, "_staged_path", None)
+        if written:
+            spark = table.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(written)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
