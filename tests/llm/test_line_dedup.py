@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import llm_brute as brute
 from tidemart.llm import line_dedup, ngram_join
@@ -182,3 +183,36 @@ def test_all_columns_come_back(documents):
     got = {r.doc_id: r for r in out.collect()}
     assert got[2].text == "own words here" and got[3].text is None
     assert all((r._row, r._removed, r._all, r.doc) == (i + 5, i + 6, i + 7, i) for i, r in got.items())
+
+
+def test_marks_never_refuse_similar_lines(spark):
+    """Pairs at and just above the similarity, of lines short and long enough to have shingles on every bit."""
+    draw = random.Random(3)
+    lines, n = [], 0
+    while n < 300:
+        length = draw.choice((60, 240, 1200, 4000))
+        one = [chr(draw.randrange(97, 123)) for _ in range(length)]
+        other = list(one)
+        for _ in range(draw.randrange(1, length // 40 + 1)):
+            other[draw.randrange(length)] = "#"
+        a, b = grams("".join(one)), grams("".join(other))
+        if 100 * len(a & b) >= 80 * len(a | b):
+            lines += [(2 * n, "".join(one)), (2 * n + 1, "".join(other))]
+            n += 1
+    marks = line_dedup.digests(spark.createDataFrame(lines, "node long, line string"), K).collect()
+    sizes = {r.node: r.n for r in marks}
+    assert sizes == {node: len(grams(line)) for node, line in lines}
+    found = spark.createDataFrame(marks).selectExpr("node div 2 as pair", "node % 2 as side", "n", "mark")
+    a, b = (found.where(f"side = {s}").selectExpr("pair", f"n as n{s}", f"mark as m{s}") for s in (0, 1))
+    pairs = a.join(b, "pair")
+    columns = [pairs[c] for c in ("n0", "m0", "n1", "m1")]
+    assert pairs.where(line_dedup._allowed(*columns, 80)).count() == n
+
+
+def test_tables_of_rounds_are_removed(spark, documents):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    rows = [(i, f"a line that many documents share, but for its number {i % 7}\nown {i * i}") for i in range(50)]
+    line_dedup.deduplicated(documents(rows)).collect()
+    left = {path.name.rsplit("-", 1)[0] for path in set(folder.iterdir()) - before}
+    assert left and not left & {"line-placed", "line-open", "line-openplaced", "line-hubs", "line-stars", "line-hooks"}

@@ -1,7 +1,7 @@
 """Classes of linked nodes: which pairs to test when rows share a key, and connected components.
 
 Nodes are longs. Everything here is DataFrame operations; what several steps read is written to the
-shared folder, so that a lost executor costs a re-read.
+shared folder, so that a lost executor costs a re-read, and removed when the round that reads it is over.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import staged
+from ..session import removed, staged
 
 HUB_ROUNDS = 2
 # Rows from which a key's nodes take their marks along: fewer make few pairs, and marks take space.
@@ -43,8 +43,9 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         )
         above = hooks.select(F.col("u").alias("p"), F.col("p").alias("r"))
         roots = staged(hooks.join(above, "p").select("u", "r"), f"{name}-roots")
+        done = [edges, hooks]
         if labels is None:
-            labels = roots.select(F.col("u").alias("node"), F.col("r").alias("component"))
+            labels, behind = roots.select(F.col("u").alias("node"), F.col("r").alias("component")), roots
         else:
             moved = roots.select(F.col("u").alias("component"), "r")
             labels = staged(
@@ -53,6 +54,8 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
                 ),
                 f"{name}-labels",
             )
+            done += [behind, roots]
+            behind = labels
         a = roots.select(F.col("u").alias("a"), F.col("r").alias("ra"))
         b = roots.select(F.col("u").alias("b"), F.col("r").alias("rb"))
         edges = staged(
@@ -60,6 +63,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             .select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(),
             f"{name}-edges",
         )
+        removed(*done)
         if edges.isEmpty():
             return labels
 
@@ -117,13 +121,16 @@ def linked_components(
         "key", F.struct("node", "info").alias("here"), F.col("low"), F.col("high")
     )
     stars = pairs(members, "here", "low").union(pairs(members, "here", "high")).distinct()
-    links = staged(verify(staged(stars, f"{name}-stars")), f"{name}-links")
+    stars = staged(stars, f"{name}-stars")
+    links = staged(verify(stars), f"{name}-links")
+    removed(stars)
     found = components(links, name)
 
     # Pairs tested against drawn members, which the last step meets again; those with an end of a key are told
     # by their nodes.
     drawn: list[DataFrame] = []
-    tested = "one.node in (low.node, high.node) or here.node in (low.node, high.node)"
+    tested = "one.node in (low, high) or here.node in (low, high)"
+    members = members.withColumns({"low": F.col("low.node"), "high": F.col("high.node")})
     for attempt in range(HUB_ROUNDS + 1):
         place = staged(
             members.withColumn("node", F.col("here.node"))
@@ -147,6 +154,7 @@ def linked_components(
             open_place = marked.withColumn("here", F.struct("here.node", "here.info", "mark")).drop("mark")
         open_place = open_place.drop("size")
         open_place = staged(open_place, f"{name}-openplaced")
+        done = [place, open_keys, open_place]
         minor = open_place.where("c <> top").select(
             "key", F.col("here").alias("one"), F.col("c").alias("c1")
         )
@@ -154,16 +162,18 @@ def linked_components(
         if attempt < HUB_ROUNDS:
             # One member of the largest component of each key, another for every key and round.
             draw = F.struct(F.xxhash64("key", "here.node", F.lit(attempt)).alias("order"), "here", "low", "high", "c")
-            hubs = open_place.where("c = top and here.node not in (low.node, high.node)")
+            hubs = open_place.where("c = top and here.node not in (low, high)")
             others = staged(
                 hubs.groupBy("key").agg(F.min(draw).alias("hub")).select("key", "hub.here", "hub.low", "hub.high", "hub.c"),
                 f"{name}-hubs",
             )
+            done.append(others)
         rest = minor.join(others, "key").where(f"c <> c1 and one.node <> here.node and not ({tested})")
         across = pairs(rest, "one", "here", near).distinct()
         for before in drawn:
             across = across.join(before, ["a", "b"], "left_anti")
         across = staged(across, f"{name}-across")
+        removed(*done)
         drawn.append(across)
         if not across.isEmpty():
             links = links.union(staged(verify(across), f"{name}-links"))
