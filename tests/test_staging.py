@@ -8,7 +8,7 @@ from tidemart.functions.casts import date_or_null, number_or_null, numeric_key_o
 from tidemart.operators.enrich import join_company, join_region
 from tidemart.operators.universe import Allowlist, allowlist_sizes, dimension, in_universe
 from tidemart.plans import staging
-from tidemart.session import removed, staged
+from tidemart.session import removed, scratch, staged
 
 DAY = date(2024, 2, 29)
 
@@ -210,3 +210,20 @@ def test_removed_tables(spark, tmp_path):
     assert [path.name.split("-")[0] for path in tmp_path.iterdir()] == ["kept"]
     assert kept.count() == 3
     removed(one)
+
+
+def test_scratch_tables(spark, tmp_path):
+    folder = str(tmp_path)
+    outer = staged(spark.range(3), "outer", folder)
+    with scratch() as tables:
+        inner = staged(outer, "inner", folder)
+        with scratch():
+            staged(inner, "deep", folder)
+        result = staged(inner.where("id > 0"), "result", folder)
+        tables.remove(result)
+    assert sorted(path.name.split("-")[0] for path in tmp_path.iterdir()) == ["outer", "result"]
+    assert result.count() == 2
+    with pytest.raises(ValueError), scratch():
+        staged(outer, "broken", folder)
+        raise ValueError
+    assert len(list(tmp_path.iterdir())) == 2

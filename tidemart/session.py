@@ -6,12 +6,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Folder of a local session that names none, by application.
 _OWN_FOLDERS: dict[str, str] = {}
+_MADE: ContextVar[list[DataFrame] | None] = ContextVar("made", default=None)
 
 
 def local_session(app: str = "tidemart", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -79,6 +81,8 @@ def staged(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
         df.write.mode("error").option("compression", "zstd").parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._staged_path = path
+    if (made := _MADE.get()) is not None:
+        made.append(table)
     return table
 
 
@@ -93,3 +97,15 @@ def removed(*tables: DataFrame) -> None:
             spark = table.sparkSession
             path = spark._jvm.org.apache.hadoop.fs.Path(written)
             path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Tables that are staged in here are removed at its end, but for those taken out of the list that it gives."""
+    made: list[DataFrame] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        removed(*made)
