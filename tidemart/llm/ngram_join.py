@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import staged
+from ..session import scratch, staged
 from .links import linked_components, with_hubs
 from .words import mixed, shingle_sets
 
@@ -223,6 +223,16 @@ def collide(nodes: DataFrame) -> bool:
 def _classes(docs: DataFrame, row: Column, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Every row (doc_id, row, n, node), and the component of every node. ``row`` is a row's number, which is
     taken in one scan only."""
+    with scratch() as tables:
+        rows, named = _signed_and_named(docs, row, words, percent)
+        tables.remove(rows)
+        tables.remove(named)
+    return rows.where("part is null").select("doc_id", "row", "n", "node"), named
+
+
+def _signed_and_named(docs: DataFrame, row: Column, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The tables behind :func:`_classes`: rows with their sets' fingerprints, among parts of the sketch, and the
+    component of every node."""
     spark = docs.sparkSession
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -289,7 +299,7 @@ def _classes(docs: DataFrame, row: Column, words: int, percent: int) -> tuple[Da
         .select("node", "lowest", F.coalesce("component", "node").alias("component")),
         "ngram-named",
     )
-    return signed.select("doc_id", "row", "n", "node"), named
+    return rows, named
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
