@@ -85,6 +85,22 @@ def test_a_run_is_registered_once(spark, tmp_path):
     assert kept.count() == 2 and contracts.orphans(kept, runs, "run_id").isEmpty()
 
 
+def test_a_source_is_read_once_for_its_records(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    run, _, splits = records(spark)
+    posts = days(spark, [(1, date(2024, 1, 17)), (2, date(2024, 3, 2))])
+    source = metadata.source_lineage(posts.mapInArrow(counted, posts.schema), "one", "postings", "p")
+    assert registry.register(spark, str(tmp_path), run, source, splits)
+    assert read.value == 2
+    assert registry.registered(spark, str(tmp_path), registry.LINEAGE).first().row_count == 2
+
+
 def test_records_are_held_to_their_contracts(spark, tmp_path):
     run, source, splits = records(spark)
     for bad in ((run.drop("notes"), source, splits), (run.union(run), source, splits), (run.where("false"), source, splits)):

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import METADATA
+from ..session import scratch, staged
 from ..sources.snapshot import ABSENT
-from .contracts import ContractError, orphans, require_contract
+from .contracts import ContractError, orphans, require_columns, require_contract
 
 RUNS, LINEAGE, SPLITS = "pipeline_runs", "source_lineage", "model_eval_splits"
 
@@ -35,11 +36,21 @@ def register(
     """Keep the one record of ``run`` with its lineage and splits; False, and nothing changes, if its id is known.
 
     Every run has a folder of its own, and its own record is written last and never over another one: it is what
-    makes the run known. Records are held to their contracts first, and must refer to this run.
+    makes the run known. Records are held to their contracts first, and must refer to this run. They are computed
+    once, whatever reads them here: they are few, and made from whole sources.
     """
-    tables = {LINEAGE: lineage, SPLITS: splits, RUNS: run}
+    with scratch():
+        tables = {LINEAGE: lineage, SPLITS: splits, RUNS: run}
+        for name, df in tables.items():
+            require_columns(df, name, METADATA[name])
+        made = {name: staged(df.select(*METADATA[name].columns), f"record-{name}") for name, df in tables.items()}
+        return _registered_now(spark, root, made)
+
+
+def _registered_now(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> bool:
     for name, df in tables.items():
         require_contract(df, name, METADATA[name])
+    run = tables[RUNS]
     ids = [row.run_id for row in run.select("run_id").collect()]
     if len(ids) != 1:
         raise ContractError(f"one run is registered at a time, not {len(ids)}")
@@ -52,7 +63,6 @@ def register(
     for name, df in tables.items():
         # What an attempt before left behind is replaced; a record of the run itself never is.
         mode = "error" if name == RUNS else "overwrite"
-        kept = df.select(*METADATA[name].columns).coalesce(1)
-        kept.write.mode(mode).parquet(f"{folder}/{name}")
+        df.coalesce(1).write.mode(mode).parquet(f"{folder}/{name}")
     return True
 
