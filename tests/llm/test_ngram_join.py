@@ -2,10 +2,12 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import llm_brute as brute
 from tidemart.llm import links, ngram_join
 from tidemart.llm.ngram_join import near_duplicates, parity_bitmap
+from tidemart.session import staged
 
 
 def result(df, **options):
@@ -99,3 +101,19 @@ def test_a_pair_is_verified_once(spark, documents, monkeypatch):
     got = ngram_join.near_duplicates(documents(rows)).collect()
     assert len(tested) == len(set(tested))
     assert sorted((r.doc_id, r.component_id) for r in got) == sorted((d, c) for d, _, c in brute.near_duplicates(rows))
+
+
+def test_digests_refuse_pairs_of_small_keys(spark):
+    """Nodes of a key that no digest allows to link are tested against the ends of the key only."""
+    nodes = [(7, n, 0) for n in range(12)]
+    shared = staged(links.with_hubs(spark.createDataFrame(nodes, "key long, node long, info long")), "shared")
+    marks = spark.createDataFrame([(n, n) for _, n, _ in nodes], "node long, mark long")
+    tested = []
+
+    def verify(pairs):
+        tested.extend((r.a, r.b) for r in pairs.collect())
+        return pairs.where("false")
+
+    allowed = lambda one, other: one["mark"] == other["mark"]
+    links.linked_components(shared, verify, lambda one, other: F.lit(True), "small", marks, allowed)
+    assert set(tested) == {(0, n) for n in range(1, 12)} | {(n, 11) for n in range(11)}

@@ -131,8 +131,9 @@ def parity_bitmap(found: np.ndarray) -> np.ndarray:
 
 def _set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     def out(rows: list, sets: list, marks: list) -> pa.RecordBatch:
-        columns = [pa.array(rows, pa.int64()), pa.array(sets, pa.binary()), pa.array(marks, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, names=["node", "set", "mark"])
+        sizes = pa.array([len(found) // 8 for found in sets], pa.int64())
+        columns = [pa.array(rows, pa.int64()), sizes, pa.array(sets, pa.binary()), pa.array(marks, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, names=["node", "n", "set", "mark"])
 
     for batch in batches:
         nodes = batch.column("node").to_pylist()
@@ -203,14 +204,19 @@ def _may_link(percent: int):
     return condition
 
 
-def _near(percent: int):
-    """The suffix filter on parity bitmaps, before a pair is made: sets that link differ in no more members
+def _allowed(both: Column, mark_a: Column, mark_b: Column, percent: int) -> Column:
+    """The suffix filter on parity bitmaps: sets of ``both`` members together that link differ in no more members
     than their sizes allow, and their bitmaps in no more bits. Long sets fill the bitmap and pass."""
+    differ = sum(F.bit_count(mark_a[i].bitwiseXOR(mark_b[i])) for i in range(MARK_WORDS))
+    return differ <= both - 2 * F.ceil(F.lit(percent) * both / F.lit(100 + percent))
+
+
+def _near(percent: int):
+    """The filter on bitmaps before a pair is made."""
 
     def condition(one: Column, other: Column) -> Column:
         both = F.shiftright(one["info"], 32) + F.shiftright(other["info"], 32)
-        differ = sum(F.bit_count(one["mark"][i].bitwiseXOR(other["mark"][i])) for i in range(MARK_WORDS))
-        return differ <= both - 2 * F.ceil(F.lit(percent) * both / F.lit(100 + percent))
+        return _allowed(both, one["mark"], other["mark"], percent)
 
     return condition
 
@@ -279,12 +285,17 @@ def _signed_and_named(docs: DataFrame, row: Column, words: int, percent: int) ->
         keyed.select("row_key", "text")
         .join(wanted, "row_key")
         .select("node", "text")
-        .mapInArrow(partial(_set_rows, words=words), "node long, set binary, mark array<long>")
+        .mapInArrow(partial(_set_rows, words=words), "node long, n long, set binary, mark array<long>")
         .dropDuplicates(["node"]),
         "ngram-sets",
     )
 
     def verify(pairs: DataFrame) -> DataFrame:
+        a = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("mark").alias("ma"))
+        b = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("mark").alias("mb"))
+        allowed = _allowed(F.col("na") + F.col("nb"), F.col("ma"), F.col("mb"), percent)
+        # Sets take many times the space of their bitmaps, so they come only to pairs whose bitmaps allow it.
+        pairs = staged(pairs.join(a, "a").join(b, "b").where(allowed).select("a", "b"), "ngram-near")
         a = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
         b = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
         with_sets = pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b")
