@@ -216,3 +216,18 @@ def test_tables_of_rounds_are_removed(spark, documents):
     line_dedup.deduplicated(documents(rows)).collect()
     left = {path.name.rsplit("-", 1)[0] for path in set(folder.iterdir()) - before}
     assert left == {"line-docs", "line-kept"}
+
+
+def test_lines_of_the_same_words_make_few_candidates(spark):
+    """Lines that share common words only share a band less often than 13 bands of 4 values would let them."""
+    draw = random.Random(3)
+    words = ["".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randrange(3, 8))) for _ in range(50)]
+    lines = [(n, " ".join(draw.choice(words) for _ in range(40))) for n in range(400)]
+    postings = line_dedup.banded(
+        spark.createDataFrame(lines, "node long, line string"), K, line_dedup.BANDS, line_dedup.ROWS, 11
+    )
+    other = postings.selectExpr("key", "node as other")
+    met = postings.join(other, "key").where("node < other").select("node", "other").distinct().count()
+    sets = [grams(line) for _, line in lines]
+    alike = [len(a & b) / len(a | b) for i, a in enumerate(sets) for b in sets[i + 1 :]]
+    assert met < 0.7 * sum(1 - (1 - s**4) ** 13 for s in alike)
