@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch, staged
-from .links import linked_components, with_hubs
+from .links import between, linked_components, with_hubs
 from .words import mixed, shingle_sets
 
 WORDS = 5
@@ -26,7 +26,7 @@ CELLS = 32
 # Words of 64 bits in the parity bitmap of a set.
 MARK_WORDS = 8
 
-_SIGNATURES = "doc_id long, row long, row_key long, n long, node long, check long, part int, counts binary"
+_SIGNATURES = "doc_id long, row long, row_key long, n long, node long, check long, mark array<long>, part int, counts binary"
 
 
 def needed(n: int, percent: int) -> int:
@@ -46,15 +46,17 @@ def fingerprint(found: np.ndarray, seed: int) -> np.int64:
 def _signatures(batches: Iterator[pa.RecordBatch], words: int, seed: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("row", pa.int64()), ("row_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()),
-         ("check", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())]
+         ("check", pa.int64()), ("mark", pa.list_(pa.int64())), ("part", pa.int32()), ("counts", pa.binary())]
     )
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
     for batch in batches:
         n, node, check = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
+        marks = np.zeros((batch.num_rows, MARK_WORDS), np.int64)
         gathered, held = [], 0
         for row, found in shingle_sets(batch.column("text"), words):
             n[row] = len(found)
             node[row] = fingerprint(found, seed)
+            marks[row] = parity_bitmap(found)
             check[row] = (found * (found | np.uint64(1))).sum(dtype=np.uint64).astype(np.int64)
             gathered.append(_index(found))
             held += len(found)
@@ -64,9 +66,10 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int, seed: int) -> Ite
         if held:
             sketch += np.bincount(np.concatenate(gathered), minlength=len(sketch)).astype(np.uint32)
         none = pa.nulls(batch.num_rows)
+        ends = np.arange(0, marks.size + 1, MARK_WORDS, dtype=np.int32)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("row"), batch.column("row_key"), pa.array(n), pa.array(node), pa.array(check),
-             none.cast(pa.int32()), none.cast(pa.binary())],
+             pa.ListArray.from_arrays(ends, marks.ravel()), none.cast(pa.int32()), none.cast(pa.binary())],
             schema=schema,
         )
     parts = [i for i, part in enumerate(np.split(sketch, SKETCH_ROWS)) if part.any()]
@@ -74,7 +77,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int, seed: int) -> Ite
         packed = [zlib.compress(part.tobytes(), 1) for part in np.split(sketch, SKETCH_ROWS)]
         none = pa.nulls(len(parts), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none] * 6 + [pa.array(parts, pa.int32()), pa.array([packed[i] for i in parts], pa.binary())],
+            [none] * 6 + [pa.nulls(len(parts), pa.list_(pa.int64())), pa.array(parts, pa.int32()), pa.array([packed[i] for i in parts], pa.binary())],
             schema=schema,
         )
 
@@ -129,25 +132,6 @@ def parity_bitmap(found: np.ndarray) -> np.ndarray:
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    def out(rows: list, sets: list, marks: list) -> pa.RecordBatch:
-        sizes = pa.array([len(found) // 8 for found in sets], pa.int64())
-        columns = [pa.array(rows, pa.int64()), sizes, pa.array(sets, pa.binary()), pa.array(marks, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, names=["node", "n", "set", "mark"])
-
-    for batch in batches:
-        nodes = batch.column("node").to_pylist()
-        rows, sets, marks = [], [], []
-        for row, found in shingle_sets(batch.column("text"), words):
-            rows.append(nodes[row])
-            sets.append(found.tobytes())
-            marks.append(parity_bitmap(found))
-            if len(rows) == 1000:
-                yield out(rows, sets, marks)
-                rows, sets, marks = [], [], []
-        yield out(rows, sets, marks)
-
-
 def _cells(found: np.ndarray) -> np.ndarray:
     return np.bincount((found >> np.uint64(59)).astype(np.int64), minlength=CELLS)
 
@@ -168,13 +152,11 @@ def linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return int((merged[1:] == merged[:-1]).sum()) >= overlap
 
 
-def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _verified(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) whose two ``texts`` link; which text is whose makes no difference."""
     for batch in batches:
-        one, other = batch.column("set_a"), batch.column("set_b")
-        keep = [
-            linked(np.frombuffer(one[i].as_buffer(), np.uint64), np.frombuffer(other[i].as_buffer(), np.uint64), percent)
-            for i in range(batch.num_rows)
-        ]
+        sets = (found for _, found in shingle_sets(batch.column("texts").flatten(), words))
+        keep = [linked(one, next(sets), percent) for one in sets]
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -250,13 +232,15 @@ def _signed_and_named(docs: DataFrame, row: Column, words: int, percent: int) ->
     # that happens to every third choice.
     for seed in count():
         rows = staged(keyed.mapInArrow(partial(_signatures, words=words, seed=seed), _SIGNATURES), "ngram-rows")
-        signed = rows.where("part is null").select("doc_id", "row", "row_key", "n", "node", "check")
+        signed = rows.where("part is null").select("doc_id", "row", "row_key", "n", "node", "check", "mark")
         nodes = staged(
             signed.where("n > 0")
             .groupBy("node")
             .agg(
                 F.min("doc_id").alias("lowest"),
                 F.min("row_key").alias("row_key"),
+                F.min("n").alias("n"),
+                F.first("mark").alias("mark"),
                 F.min("check").alias("c1"),
                 F.max("check").alias("c2"),
             ),
@@ -279,30 +263,33 @@ def _signed_and_named(docs: DataFrame, row: Column, words: int, percent: int) ->
         with_hubs(prefixes), "ngram-shared"
     )
     wanted = staged(
-        shared.select("node").distinct().join(nodes.select("node", "row_key"), "node"), "ngram-wanted"
-    )
-    sets = staged(
-        keyed.select("row_key", "text")
-        .join(wanted, "row_key")
-        .select("node", "text")
-        .mapInArrow(partial(_set_rows, words=words), "node long, n long, set binary, mark array<long>")
-        .dropDuplicates(["node"]),
-        "ngram-sets",
+        shared.select("node").distinct().join(nodes.select("node", "row_key", "n", "mark"), "node"), "ngram-wanted"
     )
+    texts: list[DataFrame] = []
 
     def verify(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("mark").alias("ma"))
-        b = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("mark").alias("mb"))
+        a = wanted.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("mark").alias("ma"))
+        b = wanted.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("mark").alias("mb"))
         allowed = _allowed(F.col("na") + F.col("nb"), F.col("ma"), F.col("mb"), percent)
-        # Sets take many times the space of their bitmaps, so they come only to pairs whose bitmaps allow it.
+        # Texts take many times the space of bitmaps, so they come only to pairs whose bitmaps allow it, each text
+        # from one shuffle of the table at most, and sets are made where they are compared.
         pairs = staged(pairs.join(a, "a").join(b, "b").where(allowed).select("a", "b"), "ngram-near")
-        a = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
-        b = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-        with_sets = pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b")
-        return with_sets.mapInArrow(partial(_verified, percent=percent), "a long, b long")
+        sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
+        if not texts:
+            # The first pairs are those with the ends of keys; later ones are of nodes between the ends.
+            nodes = sides.select("node").union(between(shared).select("node")).distinct()
+            needed = staged(wanted.join(nodes, "node", "left_semi").select("row_key", "node"), "ngram-needed")
+            # Merged at every size, as what is needed grows with the input: repeated rows then lie together. Texts are
+            # kept, which take less space than their sets.
+            found = keyed.select("row_key", "text").join(needed.hint("merge"), "row_key")
+            found = found.dropDuplicates(["row_key", "node"])
+            texts.append(staged(found.select("node", "text"), "ngram-texts"))
+        sides = sides.join(texts[0], "node")
+        both = sides.groupBy("a", "b").agg(F.collect_list("text").alias("texts"))
+        return both.mapInArrow(partial(_verified, words=words, percent=percent), "a long, b long")
 
     found = linked_components(
-        shared, verify, _may_link(percent), "ngram", sets.select("node", "mark"), _near(percent)
+        shared, verify, _may_link(percent), "ngram", wanted.select("node", "mark"), _near(percent)
     )
     named = staged(
         nodes.select("node", "lowest")
@@ -324,8 +311,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     n-grams; each set is ordered rarest first by it and only its prefix is posted, for two sets that
     link share an n-gram of both prefixes. The order may be any that all sets agree on, so collisions in
     the sketch cost time at most. Pairs that share a prefix n-gram pass length and positional filters,
-    are made distinct, fetch their sets, pass the suffix filter and are verified once. In large groups the suffix
-    filter also works on bitmaps of fixed size, before pairs are made.
+    are made distinct, pass the suffix filter on bitmaps of fixed size, fetch their texts, pass it on the sets and are
+    verified once. In large groups the bitmaps also work before pairs are made.
 
     Nulls: a null or wordless text has no n-grams and links with nothing. A null doc_id takes part
     under its text, but names no component (a component of only such rows gets null). Repeated rows
