@@ -117,3 +117,52 @@ def test_digests_refuse_pairs_of_small_keys(spark):
     allowed = lambda one, other: one["mark"] == other["mark"]
     links.linked_components(shared, verify, lambda one, other: F.lit(True), "small", marks, allowed)
     assert set(tested) == {(0, n) for n in range(1, 12)} | {(n, 11) for n in range(11)}
+
+
+def watch(monkeypatch, module):
+    """Rows of the tables that ``module`` writes, by name, and the plans behind them."""
+    rows, plans, real = {}, {}, module.staged
+
+    def watched(df, name):
+        out = real(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        plans[name] = plans.get(name, "") + df._jdf.queryExecution().optimizedPlan().toString()
+        return out
+
+    monkeypatch.setattr(module, "staged", watched)
+    return rows, plans
+
+
+def test_keys_without_untested_pairs_do_not_travel(spark, monkeypatch):
+    nodes = [(k, 3 * k + i, 0) for k in range(20) for i in range(3)]
+    shared = staged(links.with_hubs(spark.createDataFrame(nodes, "key long, node long, info long")), "shared")
+    rows, _ = watch(monkeypatch, links)
+    links.linked_components(shared, lambda pairs: pairs.where("false"), lambda one, other: F.lit(True), "small")
+    assert rows.pop("small-stars") == 60
+    assert not any(rows.values()), rows
+
+
+def test_pairs_of_many_keys_become_one_before_tested_ones_go(spark, monkeypatch):
+    """Nodes that share thirty keys: no join multiplies their pairs by the keys again."""
+    nodes = [(k, n, 0) for k in range(30) for n in range(12)]
+    shared = staged(links.with_hubs(spark.createDataFrame(nodes, "key long, node long, info long")), "shared")
+    rows, plans = watch(monkeypatch, links)
+    found = links.linked_components(
+        shared, lambda pairs: pairs.where("a % 3 = b % 3"), lambda one, other: F.lit(True), "many"
+    )
+    assert {(r.node, r.component) for r in found.collect()} == {(n, n % 3) for n in range(12)}
+    assert rows["many-stars"] + rows["many-across"] <= 66 and "LeftAnti" not in plans["many-across"]
+
+
+def test_texts_come_only_to_pairs_that_may_link(documents, monkeypatch):
+    """Pairs that share rare shingles, but by their bitmaps too few of them."""
+    draw = random.Random(8)
+    some = lambda n: [f"w{draw.randrange(10**9)}" for _ in range(n)]
+    texts = []
+    for _ in range(20):
+        base = some(50)
+        texts += [" ".join(base + some(10)) for _ in range(2)]
+    rows, _ = watch(monkeypatch, ngram_join)
+    got = result(documents(list(enumerate(texts))))
+    assert rows["ngram-wanted"] == 40 and {c for _, _, c in got} == set(range(40))
+    assert rows.get("ngram-sets", 0) + rows.get("ngram-texts", 0) == 0
