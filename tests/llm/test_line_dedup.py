@@ -231,3 +231,41 @@ def test_lines_of_the_same_words_make_few_candidates(spark):
     sets = [grams(line) for _, line in lines]
     alike = [len(a & b) / len(a | b) for i, a in enumerate(sets) for b in sets[i + 1 :]]
     assert met < 0.7 * sum(1 - (1 - s**4) ** 13 for s in alike)
+
+
+def test_recall_of_short_lines_at_the_similarity(spark):
+    """Pairs of 8 to 70 shingles whose similarity is as near to 0.80 as their sizes allow."""
+    draw = random.Random(13)
+    lines, total = [], 0
+    while total < 6000:
+        n = draw.randrange(8, 71)
+        cut = max(k for k in range(n) if 100 * (n - k) >= 80 * (n + k))
+        one = "".join(chr(draw.randrange(97, 123)) for _ in range(n + K - 1))
+        other = one[cut:] + "".join(draw.choice("0123456789") for _ in range(cut))
+        if 100 * len(grams(one) & grams(other)) >= 80 * len(grams(one) | grams(other)):
+            lines += [(2 * total, one), (2 * total + 1, other)]
+            total += 1
+    postings = line_dedup.banded(
+        spark.createDataFrame(lines, "node long, line string"), K, line_dedup.BANDS, line_dedup.ROWS, 11
+    )
+    found = postings.selectExpr("key", "node div 2 as pair", "node % 2 as side").distinct()
+    met = found.groupBy("key", "pair").count().where("count = 2").select("pair").distinct().count()
+    assert met >= 0.9985 * total, met / total
+
+
+def test_lines_are_signed_where_they_are(spark):
+    """Neither a shuffle of lines nor a row for every shingle; a posting tells the size of the set."""
+    lines = [(0, "abcdefgh"), (1, "é" * 300), (2, "".join(chr(200 + i) for i in range(400))), (3, "x😀yzw")]
+    frame = spark.createDataFrame(lines, "node long, line string")
+    postings = line_dedup.banded(frame, K, line_dedup.BANDS, line_dedup.ROWS, 11)
+    plan = postings._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Generate") == 1
+    rows = postings.collect()
+    assert {r.node: r.info for r in rows} == {node: len(grams(line)) for node, line in lines}
+    assert max(sum(r.node == node for r in rows) for node, _ in lines) <= line_dedup.BANDS
+
+
+def test_sizes_that_may_not_link_need_no_digest(spark):
+    postings = [(1, 1, 10), (1, 2, 30), (1, 3, 37), (2, 4, 10), (2, 5, 13), (3, 6, 8), (3, 7, 10), (3, 8, 20), (4, 9, 5)]
+    shared = spark.createDataFrame(postings, "key long, node long, info int")
+    assert {r.node for r in line_dedup.with_like_sizes(shared, 80).collect()} == {2, 3, 6, 7}
