@@ -2,7 +2,8 @@ import random
 from pathlib import Path
 
 import llm_brute as brute
-from tidemart.llm import line_dedup, ngram_join
+from pyspark.sql import functions as F
+from tidemart.llm import line_dedup, links, ngram_join
 
 K = line_dedup.CHARACTERS
 
@@ -269,3 +270,25 @@ def test_sizes_that_may_not_link_need_no_digest(spark):
     postings = [(1, 1, 10), (1, 2, 30), (1, 3, 37), (2, 4, 10), (2, 5, 13), (3, 6, 8), (3, 7, 10), (3, 8, 20), (4, 9, 5)]
     shared = spark.createDataFrame(postings, "key long, node long, info int")
     assert {r.node for r in line_dedup.with_like_sizes(shared, 80).collect()} == {2, 3, 6, 7}
+
+
+def test_the_last_step_makes_a_pair_once(spark):
+    """Nodes that share three keys and are not linked: every pair between the ends is a row of the last join once."""
+    postings = spark.createDataFrame([(k, n, 0) for k in (1, 2, 3) for n in range(12)], "key long, node long, info int")
+    shared = links.with_hubs(postings)
+    keys = shared.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    rows = [(k, a, b) for k in (1, 2, 3) for a in range(1, 11) for b in range(a + 1, 11)]
+    known = spark.createDataFrame(rows, "key long, a long, b long")
+    a = keys.select(F.col("node").alias("a"), F.struct("keys").alias("one"))
+    b = keys.select(F.col("node").alias("b"), F.struct("keys").alias("other"))
+    once = known.join(a, "a").join(b, "b").where(links._once(F.col("one"), F.col("other")))
+    assert once.count() == 45 and {r.key for r in once.collect()} == {1}
+    tested = []
+
+    def verify(pairs):
+        tested.extend((r.a, r.b) for r in pairs.collect())
+        return pairs.where("a = 4 and b = 7")
+
+    found = links.linked_components(shared, verify, lambda x, y: F.lit(True), "once", keys=keys).collect()
+    assert {(r.node, r.component) for r in found} == {(4, 4), (7, 4)}
+    assert set(tested) == {(a, b) for a in range(12) for b in range(a + 1, 12)} and len(tested) == len(set(tested))
