@@ -292,3 +292,43 @@ def test_the_last_step_makes_a_pair_once(spark):
     found = links.linked_components(shared, verify, lambda x, y: F.lit(True), "once", keys=keys).collect()
     assert {(r.node, r.component) for r in found} == {(4, 4), (7, 4)}
     assert set(tested) == {(a, b) for a in range(12) for b in range(a + 1, 12)} and len(tested) == len(set(tested))
+
+
+def test_keys_of_one_node_leave_before_the_windows(spark):
+    """Postings of keys that cannot make a pair go, in one shuffle; repeated postings and hot keys are kept whole."""
+    rows = [(1, 1, 10), (2, 2, 10), (2, 2, 10), (3, 3, 10), (3, 4, 11), (4, 5, 10), (4, 6, 30), (5, 7, 10), (5, 8, 30), (5, 9, 40)]
+    rows += [(6, n, 20) for n in range(10, 60)]
+    postings = spark.createDataFrame(rows, "key long, node long, info int")
+    met = line_dedup.of_two_nodes(postings, 80)
+    assert sorted(map(tuple, met.collect())) == sorted(r for r in rows if r[0] in (3, 5, 6))
+    final = met._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final and "Window" not in final
+    both = [line_dedup.with_like_sizes(links.with_hubs(p), 80).collect() for p in (postings, met)]
+    assert sorted(map(str, both[0])) == sorted(map(str, both[1]))
+    assert line_dedup.of_two_nodes(postings.limit(0), 80).count() == 0
+
+
+def test_a_line_is_cut_once_for_a_digest_and_a_comparison(spark):
+    lines = spark.createDataFrame([(0, "abcdefghijklmnop" * 3), (1, "abcdefghijklmnop" * 3 + "z"), (2, "q" * 40)], "node long, line string")
+    marks = line_dedup.digests(lines, K)
+    assert marks._jdf.queryExecution().optimizedPlan().toString().count("UTF-32") == 1
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "a long, b long")
+    found = line_dedup.similar(pairs, lines, marks, K, 80)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("UTF-32") == 2
+    assert [(r.a, r.b) for r in found.collect()] == [(0, 1)]
+
+
+def test_steps_read_only_lines_that_share_a_key(documents, monkeypatch):
+    draw = random.Random(17)
+    own = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(80))
+    shared = own()
+    rows = [(i, own()) for i in range(200)] + [(200 + i, shared + str(i)) for i in range(6)]
+    read, verify = [], line_dedup.similar
+
+    def counting(pairs, lines, *rest):
+        read.append(lines.count())
+        return verify(pairs, lines, *rest)
+
+    monkeypatch.setattr(line_dedup, "similar", counting)
+    out = line_dedup.deduplicated(documents(rows).coalesce(1)).collect()
+    assert sum(r.n_removed for r in out) == 5 and read and max(read) < 20, read
